@@ -25,8 +25,27 @@ CARD_COLUMNS = (
 )
 
 
+_SIMPLE_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(8,4)": T.DecimalType(8, 4),
+    "decimal(10,2)": T.DecimalType(10, 2),
+    "decimal(12,2)": T.DecimalType(12, 2),
+    "decimal(16,2)": T.DecimalType(16, 2),
+    "decimal(18,2)": T.DecimalType(18, 2),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """``"name type, ..."`` to a schema; usable before a session exists."""
+    pairs = (item.split() for item in text.replace(",2)", ";2)").replace(",4)", ";4)").split(","))
+    return T.StructType(
+        [T.StructField(name, _SIMPLE_TYPES[kind.replace(";", ",")]) for name, kind in pairs]
+    )
 
 
 # The fact table, in load order; processed_at is added when the table is written.
@@ -39,7 +58,7 @@ FACT = _struct(
     total_debt decimal(12,2), credit_score int, card_brand string, card_type string,
     has_chip boolean, card_on_dark_web boolean, credit_limit decimal(12,2),
     debt_income_ratio decimal(8,4), distance_km decimal(10,2), is_fraud boolean,
-    is_suspicious boolean, suspicion_reasons string, fraud_score int, card_txn_count int
+    is_suspicious boolean, suspicion_reasons string, fraud_score int, card_txn_count bigint
     """
 )
 

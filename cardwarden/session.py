@@ -45,16 +45,21 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_fallback_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for staged tables and streaming checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    a fresh temporary folder is chosen, once per session.
+    a fresh temporary folder is chosen, once per application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="cardwarden-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _fallback_dirs:
+            _fallback_dirs[app] = tempfile.mkdtemp(prefix="cardwarden-")
+        folder = _fallback_dirs[app]
     return folder.rstrip("/")
 
 
