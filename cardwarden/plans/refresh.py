@@ -18,7 +18,6 @@ from cardwarden.plans.warehouse import (
     Warehouse,
     conform,
     conform_card_types,
-    conform_facts,
     conform_profiles,
 )
 from cardwarden.sources import files
@@ -85,8 +84,8 @@ def run(
     facts = warehouse.write_clustered(
         name,
         "transactions_processed",
-        conform_facts(scored).select(
-            "*", "is_online", F.current_timestamp().cast("timestamp_ntz").alias("processed_at")
+        conform(scored, schemas.STORED_FACT).withColumn(
+            "processed_at", F.current_timestamp().cast("timestamp_ntz")
         ),
         FACT_ORDER,
     )

@@ -48,7 +48,7 @@ def _struct(text: str) -> T.StructType:
     )
 
 
-# The fact table, in load order; processed_at is added when the table is written.
+# The fact table, in load order.
 FACT = _struct(
     """
     transaction_id string, card_id string, user_id string, transaction_date timestamp_ntz,
@@ -62,6 +62,10 @@ FACT = _struct(
     """
 )
 
+# What is stored: the channel flag tells a card-present row from one of unknown channel, which the
+# by-state metrics need.
+STORED_FACT = T.StructType([*FACT.fields, T.StructField("is_online", T.BooleanType())])
+
 _SEGMENT_MEASURES = """
     total_transactions bigint, total_fraud bigint, fraud_rate decimal(8,4),
     amount_at_risk decimal(16,2), total_suspicious bigint, amount_suspicious decimal(18,2)
