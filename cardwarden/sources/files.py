@@ -45,6 +45,9 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str | None = None)
         "quote": '"',
         "escape": '"',
         "mode": "PERMISSIVE",
+        # An unquoted empty cell is null, a quoted one is the empty string.
+        "nullValue": "\u0000",
+        "emptyValue": "",
     }
     # Only the header line is read here.
     names = spark.read.options(**options).csv(path).columns

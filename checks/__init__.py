@@ -1,0 +1 @@
+"""Independent SQL answers for the registered queries."""
