@@ -17,13 +17,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden.operators import clean, enrich, features, metrics, profiles, quality, scoring
-from cardwarden.plans import datasets, explorer, merchants, overview, refresh, segments, users
+from cardwarden.plans import (
+    behaviour,
+    datasets,
+    explorer,
+    incremental,
+    merchants,
+    overview,
+    refresh,
+    segments,
+    users,
+)
 from cardwarden.plans.views import FRAUD, SUSPICIOUS
 from cardwarden.plans.warehouse import SEGMENT_ADDITIONS, Warehouse, add_columns, conform_facts, insert_if_absent
 from cardwarden.session import staging_root
 from cardwarden.sources import files
 from cardwarden.sources.staging import read_stage, stage
-from cardwarden.sources.star import Inputs, cards_from, star_inputs, users_from
+from cardwarden.sources.star import Inputs, cards_from, star_inputs, transactions_from, users_from
+from cardwarden.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -303,7 +314,128 @@ def run_log(site: Site) -> DataFrame:
 
 def last_run(site: Site) -> DataFrame:
     site.run()
-    return datasets.last_run(site.warehouse.run_log())
+    return datasets.last_run(site.warehouse.run_log()).drop("run_at")
+
+
+# -- behaviour over time -----------------------------------------------------------------------
+#
+# The adapter spreads transaction dates over years; these queries use the events' own times, where a
+# user's transactions are dense.
+
+TIME = "event_time"
+
+
+def velocity_5min(site: Site) -> DataFrame:
+    return behaviour.velocity_windows(site.cleaned(), TIME)
+
+
+def velocity_features(site: Site) -> DataFrame:
+    return behaviour.velocity_features(site.cleaned(), TIME)
+
+
+def impossible_travel(site: Site) -> DataFrame:
+    pairs = behaviour.impossible_travel(site.cleaned(), TIME)
+    for column, digits in (("km", 3), ("hours", 6), ("kmh", 3)):
+        pairs = _rounded(pairs, column, digits)
+    return pairs
+
+
+def amount_zscore(site: Site) -> DataFrame:
+    cleaned = site.cleaned()
+    profile = stage(behaviour.amount_profile(cleaned), f"{site.root}/amount_profile")
+    scored = behaviour.amount_zscore(cleaned, profile)
+    for column in ("mean_amount", "sd_amount", "z"):
+        scored = _rounded(scored, column, 6)
+    return scored
+
+
+def novelty_flags(site: Site) -> DataFrame:
+    return behaviour.novelty_flags(site.cleaned(), TIME)
+
+
+def p99_by_channel(site: Site) -> DataFrame:
+    return profiles.p99_by(features.add_channel(site.cleaned()), "transaction_type")
+
+
+INCREMENTAL_CUT = dt.date(2026, 1, 1)
+
+
+def incremental_upsert(site: Site) -> DataFrame:
+    """Facts up to 2025 with an empty card count as the target; the load brings everything newer,
+    and replaces the last thirty days."""
+    source = site.facts().select("transaction_id", "transaction_date", "fraud_score", "card_txn_count")
+    target = source.where(F.col("transaction_date") < F.lit(INCREMENTAL_CUT)).withColumn(
+        "card_txn_count", F.lit(0).cast("bigint")
+    )
+    return incremental.load_newer(target, source, "transaction_id", "transaction_date", "30 days")
+
+
+def partitioned_write(site: Site) -> DataFrame:
+    path = f"{site.root}/by_month"
+    incremental.write_by_month(site.facts(), path)
+    written = incremental.months(site.spark, path, (2024, 7), (2025, 12))
+    return written.groupBy("year", "month").agg(
+        F.count("*").alias("total"), F.count_if("is_fraud").alias("fraud")
+    )
+
+
+# -- streams -----------------------------------------------------------------------------------
+
+
+def _event_stream(site: Site) -> DataFrame:
+    """The events file as a stream of raw transactions."""
+    schema = site.spark.read.parquet(f"{site.sf_dir}/events.parquet").schema
+    reader = site.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return transactions_from(reader.parquet(site.sf_dir))
+
+
+def _stream_dirs(site: Site, name: str) -> tuple[str, str]:
+    """Output and checkpoint of a new run of a stream."""
+    base = f"{site.root}/streams/{name}/{site.warehouse.new_run()}"
+    return f"{base}/table", f"{base}/checkpoint"
+
+
+def _scored_stream(site: Site) -> DataFrame:
+    inputs = site.inputs()
+    return jobs.score_stream(
+        _event_stream(site), inputs.cards, inputs.users, inputs.mcc, site.profiles()
+    )
+
+
+def stream_scoring(site: Site) -> DataFrame:
+    table, checkpoint = _stream_dirs(site, "scoring")
+    scored = _scored_stream(site).select(
+        "transaction_id", "amount", "transaction_type", "fraud_score", "is_suspicious", "suspicion_reasons"
+    )
+    jobs.append_to_table(scored, table, checkpoint).awaitTermination()
+    return site.spark.read.parquet(table)
+
+
+def velocity_5min_stream(site: Site) -> DataFrame:
+    table, checkpoint = _stream_dirs(site, "velocity")
+    cleaned = clean.clean_transactions(_event_stream(site)).withColumnRenamed("client_id", "user_id")
+    jobs.append_to_table(jobs.velocity_stream(cleaned, TIME), table, checkpoint).awaitTermination()
+    return site.spark.read.parquet(table)
+
+
+def stream_dedup(site: Site) -> DataFrame:
+    """The transactions and a replay of a third of them, as one stream."""
+    raw = site.inputs().transactions.select("transaction_id", "client_id", "amount", TIME)
+    replay = raw.where(F.col("transaction_id").cast("bigint") % 3 == 0)
+    folder = f"{site.root}/replayed"
+    raw.unionByName(replay).write.mode("overwrite").parquet(folder)
+    source = site.spark.readStream.schema(raw.schema).parquet(folder)
+    table, checkpoint = _stream_dirs(site, "dedup")
+    once = jobs.dedupe_stream(source, "transaction_id", TIME)
+    jobs.append_to_table(once, table, checkpoint).awaitTermination()
+    return site.spark.read.parquet(table)
+
+
+def stream_segment_metrics(site: Site) -> DataFrame:
+    table, checkpoint = _stream_dirs(site, "segments")
+    totals = jobs.segment_stream(_scored_stream(site), TIME, "mcc_description")
+    jobs.update_table(totals, table, checkpoint, every=None).awaitTermination()
+    return jobs.latest(site.spark, table, ["window_start", "mcc_description"])
 
 
 def _on_facts(report: Callable[..., DataFrame], *args, **kwargs) -> Callable[[Site], DataFrame]:
@@ -348,6 +480,9 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
             clean_dates, clean_money, clean_flags, clean_transactions, rejected_rows,
             haversine_distance, derive_features, fraud_signals, fraud_score, suspicion_reasons,
             transactions_processed, dwh_projection, full_refresh, schema_evolution, run_log, last_run,
+            velocity_5min, velocity_features, impossible_travel, amount_zscore, novelty_flags,
+            p99_by_channel, incremental_upsert, partitioned_write, stream_scoring,
+            velocity_5min_stream, stream_dedup, stream_segment_metrics,
         )
     }
     found |= {
@@ -355,6 +490,8 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
         "user_p99": lambda s: profiles.user_p99(_profile_rows(s)),
         "user_hour_profile": lambda s: profiles.user_hour_profile(_profile_rows(s)),
         "card_frequency": lambda s: profiles.card_frequency(_profile_rows(s)),
+        "p99_by_mcc": lambda s: profiles.p99_by(s.cleaned(), "mcc"),
+        "threshold_sweep": _on_facts(behaviour.threshold_sweep),
         "score_distribution": _on_facts(scoring.score_distribution),
         "metrics_global": _on_facts(metrics.metrics_global),
         "fraud_by_mcc": _on_facts(metrics.fraud_by_mcc),
