@@ -213,11 +213,13 @@ def clean_dates(site: Site) -> DataFrame:
 
 
 def clean_money(site: Site) -> DataFrame:
-    return clean.type_columns(site.merged()).select("transaction_id", *clean.MONEY_COLUMNS)
+    merged = refresh.merge_inputs(site.inputs())
+    return clean.type_columns(merged).select("transaction_id", *clean.MONEY_COLUMNS)
 
 
 def clean_flags(site: Site) -> DataFrame:
-    return clean.type_columns(site.merged()).select("transaction_id", *clean.FLAG_COLUMNS)
+    merged = refresh.merge_inputs(site.inputs())
+    return clean.type_columns(merged).select("transaction_id", *clean.FLAG_COLUMNS)
 
 
 def clean_transactions(site: Site) -> DataFrame:

@@ -9,16 +9,16 @@ UNKNOWN_CATEGORY = "Unknown"
 ONLINE_CHANNEL = "online transaction"
 TRUE_TOKENS = ("YES", "TRUE", "1")
 
-# Date layouts in the order they are tried. Single letters accept padded and
-# unpadded numbers; an ambiguous a/b/yyyy is read month first.
-DATE_FORMATS = (
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d",
-    "M/d/yyyy H:m",
-    "M/d/yyyy",
-    "d/M/yyyy H:m",
-    "d/M/yyyy",
-)
+# Date layouts in the order they are tried. Numbers may be padded or not; an ambiguous
+# a/b/yyyy is read month first.
+#   yyyy-M-d H:m:s
+#   yyyy-M-d
+#   M/d/yyyy H:m
+#   M/d/yyyy
+#   d/M/yyyy H:m
+#   d/M/yyyy
+YEAR_FIRST_DATE = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
+YEAR_LAST_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})( \d{1,2}:\d{1,2})?$"
 
 # Reason tokens, in the order they are joined.
 REASON_ONLINE = "online"

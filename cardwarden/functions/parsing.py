@@ -5,33 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cardwarden.config import DATE_FORMATS, TRUE_TOKENS
+from cardwarden.config import TRUE_TOKENS, YEAR_FIRST_DATE, YEAR_LAST_DATE
 
 
 def parse_date(text: Column) -> Column:
-    """First of ``DATE_FORMATS`` that reads the text, as a timestamp without zone.
+    """Timestamp without zone of a date in one of the accepted layouts.
 
-    A layout can only match text that has its separator and, or not, a clock part, so those two
-    cheap tests choose which of the layouts are attempted.
+    Year-last dates are rewritten year first, month before day unless only the other order exists.
+    Casting that text is several times faster than a formatter per layout, and knows no time zone.
     """
 
-    def first_of(slashed: bool, clock: bool) -> Column:
-        layouts = [f for f in DATE_FORMATS if ("/" in f) == slashed and ("H" in f) == clock]
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in layouts])
+    def rewritten(order: str) -> Column:
+        dated = F.regexp_replace(text, YEAR_LAST_DATE, order)
+        seconds = F.when(F.contains(text, F.lit(":")), ":00").otherwise("")
+        return F.concat(dated, seconds).try_cast("timestamp_ntz")
 
-    has_clock = F.contains(text, F.lit(":"))
-    parsed = F.when(
-        F.contains(text, F.lit("/")),
-        F.when(has_clock, first_of(True, True)).otherwise(first_of(True, False)),
-    ).otherwise(F.when(has_clock, first_of(False, True)).otherwise(first_of(False, False)))
-    return parsed.cast("timestamp_ntz")
+    return F.when(
+        F.contains(text, F.lit("/")), F.coalesce(rewritten("$3-$1-$2$4"), rewritten("$3-$2-$1$4"))
+    ).when(text.rlike(YEAR_FIRST_DATE), text.try_cast("timestamp_ntz"))
 
 
 def parse_money(text: Column) -> Column:
     """``"$1,234.50"`` to 1234.5: currency sign, thousands commas and outer blanks dropped."""
-    digits = F.trim(F.translate(text.cast("string"), "$,", ""))
+    nothing = F.lit("")
+    digits = F.trim(F.replace(F.replace(text.cast("string"), F.lit("$"), nothing), F.lit(","), nothing))
     # A trailing d or f would be taken for a Java number suffix.
-    return F.when(~F.lower(digits).rlike("[df]$"), digits.try_cast("double"))
+    return F.when(~F.right(digits, F.lit(1)).isin("d", "D", "f", "F"), digits.try_cast("double"))
 
 
 def parse_flag(value: Column) -> Column:

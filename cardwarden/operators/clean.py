@@ -11,12 +11,18 @@ MONEY_COLUMNS = ("amount", "credit_limit", "yearly_income", "total_debt")
 FLAG_COLUMNS = ("has_chip", "card_on_dark_web")
 
 
-def type_columns(merged: DataFrame) -> DataFrame:
-    """Dates, money and flags parsed; columns that are absent stay absent."""
-    typed = {"transaction_date": parse_date(F.col("date"))}
-    typed |= {c: parse_money(F.col(c)) for c in MONEY_COLUMNS if c in merged.columns}
-    typed |= {c: parse_flag(F.col(c)) for c in FLAG_COLUMNS if c in merged.columns}
-    return merged.withColumns(typed)
+def type_columns(df: DataFrame) -> DataFrame:
+    """Dates, money and flags parsed where they are still text.
+
+    Apply it to users and cards before they are joined, so that their texts are parsed once per user
+    or card and not once per transaction.
+    """
+    kinds = dict(df.dtypes)
+    typed = {c: parse_money(F.col(c)) for c in MONEY_COLUMNS if kinds.get(c) == "string"}
+    typed |= {c: parse_flag(F.col(c)) for c in FLAG_COLUMNS if kinds.get(c) == "string"}
+    if "date" in kinds and "transaction_date" not in kinds:
+        typed["transaction_date"] = parse_date(F.col("date"))
+    return df.withColumns(typed) if typed else df
 
 
 def clean_transactions(merged: DataFrame) -> DataFrame:
@@ -26,17 +32,14 @@ def clean_transactions(merged: DataFrame) -> DataFrame:
 
 def rejected_rows(merged: DataFrame) -> DataFrame:
     """How many rows cleaning drops, by the first reason that applies."""
-    parsed = merged.select(
-        parse_money(F.col("amount")).alias("amount"),
-        parse_date(F.col("date")).alias("transaction_date"),
-    )
     reason = (
         F.when(F.col("amount").isNull(), "amount_unreadable")
         .when(F.col("amount") < 0, "amount_negative")
         .when(F.col("transaction_date").isNull(), "date_unreadable")
     )
     return (
-        parsed.select(reason.alias("reason"))
+        type_columns(merged)
+        .select(reason.alias("reason"))
         .where("reason is not null")
         .groupBy("reason")
         .agg(F.count("*").alias("rejected"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardwarden import schemas
 from cardwarden.config import DEFAULT_RULES, ScoreRules
 from cardwarden.operators import metrics, quality
-from cardwarden.operators.clean import clean_transactions
+from cardwarden.operators.clean import clean_transactions, type_columns
 from cardwarden.operators.enrich import enrich_transactions
 from cardwarden.operators.profiles import Profiles, build_profiles
 from cardwarden.operators.scoring import score_transactions
@@ -46,11 +46,21 @@ def merge_inputs(inputs: Inputs) -> DataFrame:
     )
 
 
+def merge_typed(inputs: Inputs, labels: DataFrame) -> DataFrame:
+    """The merged table as it is staged: every text is parsed once, users and cards before their
+    joins. The later passes read numbers and timestamps."""
+    return enrich_transactions(
+        type_columns(inputs.transactions).drop("date"),
+        labels,
+        type_columns(inputs.cards),
+        type_columns(inputs.users),
+        inputs.mcc,
+    )
+
+
 def profile_columns(merged: DataFrame) -> DataFrame:
     """The few columns profiles need, so that only those are read from the staged table."""
-    return clean_transactions(
-        merged.select("user_id", "card_id", "date", "amount")
-    ).select("user_id", "card_id", "transaction_date", "amount")
+    return clean_transactions(merged).select("user_id", "card_id", "transaction_date", "amount")
 
 
 def stage_profiles(merged: DataFrame, root: str, rules: ScoreRules = DEFAULT_RULES) -> Profiles:
@@ -75,10 +85,7 @@ def run(
     name = warehouse.new_run()
     staging = f"{warehouse.root}/staging/{name}"
     labels = stage(inputs.labels, f"{staging}/labels")
-    merged = stage(
-        enrich_transactions(inputs.transactions, labels, inputs.cards, inputs.users, inputs.mcc),
-        f"{staging}/merged",
-    )
+    merged = stage(merge_typed(inputs, labels), f"{staging}/merged")
     profiles = stage_profiles(merged, staging, rules)
     scored = score_transactions(clean_transactions(merged), profiles, rules)
     facts = warehouse.write_clustered(

@@ -38,7 +38,6 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus),
-            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         }
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cardwarden.config import DEFAULT_RULES, ScoreRules
 from cardwarden.functions.numbers import money_sum_or_zero
-from cardwarden.operators.clean import clean_transactions
+from cardwarden.operators.clean import clean_transactions, type_columns
 from cardwarden.operators.enrich import join_cards, join_mcc, join_users
 from cardwarden.operators.features import derive_features
 from cardwarden.operators.profiles import Profiles
@@ -32,8 +32,9 @@ def score_stream(
 ) -> DataFrame:
     """Raw stream to scored stream against static lookups and the last staged profiles. Labels are
     not known yet when a transaction arrives."""
-    merged = join_mcc(join_users(join_cards(transactions, cards), users), mcc)
-    featured = derive_features(clean_transactions(merged))
+    known = clean_transactions(transactions)
+    merged = join_mcc(join_users(join_cards(known, type_columns(cards)), type_columns(users)), mcc)
+    featured = derive_features(merged)
     return add_score(add_signals(join_profiles(featured, profiles), rules), rules)
 
 
