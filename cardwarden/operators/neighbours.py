@@ -40,7 +40,12 @@ def with_neighbour(
     direction, edge = (F.desc, F.min_by) if following else (F.asc, F.max_by)
     chunk = F.floor(micros(time) / chunk_micros)
     rows = df.withColumns({"chunk": chunk, "content": F.struct(*payload), "is_carried": F.lit(False)})
-    per_chunk = rows.groupBy(*keys, "chunk").agg(edge("content", F.struct(time, tie)).alias("content"))
+    if list(payload) == [time]:
+        # A plain minimum or maximum of a timestamp is hashed; picking a whole row has to sort.
+        nearest = F.struct((F.min if following else F.max)(time).alias(time))
+    else:
+        nearest = edge("content", F.struct(time, tie))
+    per_chunk = rows.groupBy(*keys, "chunk").agg(nearest.alias("content"))
     chunks = W.partitionBy(*keys).orderBy(direction("chunk"))
     carried = (
         per_chunk.withColumn("content", F.lag("content").over(chunks))

@@ -24,6 +24,9 @@ def _values_at_ranks(
     counted = (
         df.where(F.col(value).isNotNull())
         .select(*keys, F.col(value).alias("value"), F.floor(F.col(value) / width).alias("bucket"))
+        # Always true, but stated here both uses of these counts share one shuffle: otherwise the join
+        # below would add it to one of them only.
+        .where("bucket is not null")
         .groupBy(*keys, "bucket", "value")
         .agg(F.count("*").alias("n"))
     )
