@@ -448,6 +448,11 @@ def _on(table: str, report: Callable[..., DataFrame], *args, **kwargs) -> Callab
     return lambda site: report(site.table(table), *args, **kwargs)
 
 
+def amount_histogram_sampled(site: Site) -> DataFrame:
+    stored = site.table("fraud_metrics_global").first()["total_transactions"]
+    return overview.amount_histogram(site.facts(), fraction=overview.sample_fraction(stored))
+
+
 # Reports with a fraud view and a suspicion view: name -> (function of table and view, table).
 VIEWED = {
     "channel_breakdown": (overview.channel_breakdown, "transactions_processed"),
@@ -484,7 +489,7 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
             transactions_processed, dwh_projection, full_refresh, schema_evolution, run_log, last_run,
             velocity_5min, velocity_features, impossible_travel, amount_zscore, novelty_flags,
             p99_by_channel, incremental_upsert, partitioned_write, stream_scoring,
-            velocity_5min_stream, stream_dedup, stream_segment_metrics,
+            velocity_5min_stream, stream_dedup, stream_segment_metrics, amount_histogram_sampled,
         )
     }
     found |= {
@@ -507,9 +512,6 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
         "data_quality_report": _on_facts(quality.data_quality_report),
         "kpi_fraud": _on_facts(overview.kpis, FRAUD),
         "kpi_suspicious": _on_facts(overview.kpis, SUSPICIOUS),
-        "amount_histogram_sampled": _on_facts(
-            overview.amount_histogram, fraction=overview.SAMPLE_FRACTION
-        ),
         "confusion_matrix": _on_facts(overview.confusion_matrix),
         "precision_recall_f1": lambda s: overview.precision_recall_f1(
             overview.confusion_matrix(s.facts())

@@ -118,9 +118,10 @@ class Warehouse:
         self._fs().create(self._path(f"{self.root}/runs/{run}/{self.MARKER}"), True).close()
 
     def expire_runs(self, keep: int = 2) -> None:
-        """Deletes all but the newest complete refreshes."""
+        """Deletes all but the newest complete refreshes, and what they staged."""
         for run in self.runs()[:-keep]:
-            self._fs().delete(self._path(f"{self.root}/runs/{run}"), True)
+            for part in ("runs", "staging"):
+                self._fs().delete(self._path(f"{self.root}/{part}/{run}"), True)
 
     def location(self, table: str, run: str | None = None) -> str:
         if run is None:

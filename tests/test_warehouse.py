@@ -56,6 +56,17 @@ def test_run_log(loaded):
     assert warehouse.run_log().where("status = 'error' and rows_processed is null").count() == 1
 
 
+def test_old_refreshes_expire(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    runs = []
+    for _ in range(3):
+        runs.append(warehouse.new_run())
+        warehouse.write(runs[-1], "t", spark.range(1))
+        warehouse.publish(runs[-1])
+    warehouse.expire_runs(keep=2)
+    assert warehouse.runs() == runs[1:]
+
+
 def test_no_refresh_yet(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         Warehouse(spark, str(tmp_path)).table("fraud_by_mcc")
