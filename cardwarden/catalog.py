@@ -20,6 +20,7 @@ from cardwarden.operators import clean, enrich, features, metrics, profiles, qua
 from cardwarden.plans import (
     behaviour,
     datasets,
+    ensemble,
     explorer,
     incremental,
     merchants,
@@ -381,6 +382,11 @@ def partitioned_write(site: Site) -> DataFrame:
     )
 
 
+def ml_ensemble(site: Site) -> DataFrame:
+    rows = ensemble.model_rows(site.facts())
+    return ensemble.compare(ensemble.predict(rows, ensemble.train(rows)))
+
+
 # -- streams -----------------------------------------------------------------------------------
 
 
@@ -490,6 +496,7 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
             velocity_5min, velocity_features, impossible_travel, amount_zscore, novelty_flags,
             p99_by_channel, incremental_upsert, partitioned_write, stream_scoring,
             velocity_5min_stream, stream_dedup, stream_segment_metrics, amount_histogram_sampled,
+            ml_ensemble,
         )
     }
     found |= {

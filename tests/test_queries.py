@@ -6,7 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import difference, duck
 
 SQL = oracle_sql()
-WITHOUT_SQL = {"amount_histogram_sampled"}
+WITHOUT_SQL = {"amount_histogram_sampled", "ml_ensemble"}
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,13 @@ def test_sample_covers_all_flagged_rows(spark, sf_dir):
     assert flagged["amount_histogram"] == flagged["amount_histogram_sampled"]
 
 
+def test_ensemble_finds_at_least_what_the_rules_find(spark, sf_dir):
+    rows = {r.method: r for r in queries()["ml_ensemble"](spark, sf_dir).collect()}
+    rules, either = rows["rules"], rows["rules_or_model"]
+    assert either.tp >= rules.tp and either.fp >= rules.fp
+    assert len({r.tp + r.fp + r.fn + r.tn for r in rows.values()}) == 1
+
+
 def test_entry(spark):
     row = entry(spark).first()
     assert (row.total_transactions, row.total_fraud, row.true_positives) == (953, 21, 16)
