@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.functions.numbers import money_avg, money_sum, money_sum_or_zero, ratio
+from cardwarden.functions.numbers import cents, money_sum_or_zero, ratio
 
 
 def _flag_measures() -> list[Column]:
@@ -94,28 +94,42 @@ def fraud_by_merchant(facts: DataFrame) -> DataFrame:
     return grouped.withColumns({c: F.coalesce(c, F.lit("")) for c in MERCHANT_KEYS})
 
 
-def user_profiles(facts: DataFrame) -> DataFrame:
-    fraud, amount = F.count_if("is_fraud"), F.col("amount")
+_USER_ATTRIBUTES = {
+    "user_age": "age",
+    "user_gender": "gender",
+    "yearly_income": "yearly_income",
+    "total_debt": "total_debt",
+    "debt_income_ratio": "debt_income_ratio",
+    "credit_score": "credit_score",
+}
+
 
-    def known(column: str, alias: str) -> Column:
-        return F.any_value(column, True).alias(alias)
+def user_profiles(facts: DataFrame) -> DataFrame:
+    """Attributes and totals per user; an attribute is any value that is not null.
 
-    return (
+    Facts are first counted per user, card and attributes, as grouping keys: that pass is hashed, while
+    picking a text value inside it would sort every row. The second pass has a few rows per user.
+    """
+    fraud, in_cents = F.col("is_fraud"), cents(F.col("amount"))
+    per_card = (
         facts.where("user_id is not null")
-        .groupBy("user_id")
+        .groupBy("user_id", "card_id", *_USER_ATTRIBUTES)
         .agg(
-            known("user_age", "age"),
-            known("user_gender", "gender"),
-            known("yearly_income", "yearly_income"),
-            known("total_debt", "total_debt"),
-            known("debt_income_ratio", "debt_income_ratio"),
-            known("credit_score", "credit_score"),
-            F.count_distinct("card_id").alias("num_cards"),
-            F.count("*").alias("total_transactions"),
-            fraud.alias("total_fraud"),
-            ratio(fraud, F.count("*")).alias("fraud_rate"),
-            money_sum(amount).alias("total_spent"),
-            money_avg(amount).alias("avg_transaction"),
-            money_sum_or_zero(amount, F.col("is_fraud")).alias("amount_at_risk"),
+            F.count("*").alias("n"),
+            F.count_if(fraud).alias("n_fraud"),
+            F.count(in_cents).alias("n_amount"),
+            F.sum(in_cents).alias("cents"),
+            F.sum(F.when(fraud, in_cents)).alias("cents_fraud"),
         )
     )
+    dollars = F.sum("cents") / F.lit(100.0)
+    return per_card.groupBy("user_id").agg(
+        *[F.any_value(c, True).alias(alias) for c, alias in _USER_ATTRIBUTES.items()],
+        F.count_distinct("card_id").alias("num_cards"),
+        F.sum("n").alias("total_transactions"),
+        F.sum("n_fraud").alias("total_fraud"),
+        ratio(F.sum("n_fraud"), F.sum("n")).alias("fraud_rate"),
+        dollars.alias("total_spent"),
+        F.try_divide(dollars, F.sum("n_amount").cast("double")).alias("avg_transaction"),
+        F.coalesce(F.sum("cents_fraud") / F.lit(100.0), F.lit(0.0)).alias("amount_at_risk"),
+    )
