@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +25,7 @@ from cardwarden.plans.warehouse import (
     conform_profiles,
 )
 from cardwarden.sources import files
-from cardwarden.sources.staging import stage
+from cardwarden.sources.staging import spread, stage
 from cardwarden.sources.star import Inputs
 
 FACT_ORDER = ("user_id", "transaction_date")
@@ -67,11 +71,19 @@ def stage_profiles(merged: DataFrame, root: str, rules: ScoreRules = DEFAULT_RUL
     """Profiles written to storage: two small jobs over three columns, then tables of known size."""
     lazy = build_profiles(profile_columns(merged), rules)
     return Profiles(
-        stage(lazy.user_p99, f"{root}/user_p99"),
-        stage(lazy.card_frequency, f"{root}/card_frequency"),
+        *_at_once(
+            lambda: stage(lazy.user_p99, f"{root}/user_p99"),
+            lambda: stage(lazy.card_frequency, f"{root}/card_frequency"),
+        )
     )
 
 
+def _at_once(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Submits independent jobs together, so that the tail of one leaves no cores idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]
+
+
 def run(
     spark: SparkSession, inputs: Inputs, warehouse: Warehouse, rules: ScoreRules = DEFAULT_RULES
 ) -> str:
@@ -85,7 +97,8 @@ def run(
     name = warehouse.new_run()
     staging = f"{warehouse.root}/staging/{name}"
     labels = stage(inputs.labels, f"{staging}/labels")
-    merged = stage(merge_typed(inputs, labels), f"{staging}/merged")
+    raw = replace(inputs, transactions=spread(inputs.transactions))
+    merged = stage(merge_typed(raw, labels), f"{staging}/merged")
     profiles = stage_profiles(merged, staging, rules)
     scored = score_transactions(clean_transactions(merged), profiles, rules)
     facts = warehouse.write_clustered(
@@ -105,8 +118,7 @@ def run(
         "fraud_by_merchant": conform(metrics.fraud_by_merchant(facts), schemas.BY_MERCHANT),
         "user_profiles": conform_profiles(metrics.user_profiles(facts)),
     }
-    for table, df in tables.items():
-        warehouse.write(name, table, df)
+    _at_once(*[partial(warehouse.write, name, table, df) for table, df in tables.items()])
 
     quality.assert_no_negative_amounts(facts)
     warehouse.publish(name)

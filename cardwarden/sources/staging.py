@@ -16,3 +16,11 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Shares out an input that would keep most cores idle: one small or unsplittable (gzip) file. An
+    input with enough splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() <= cores // 8
+    return df.repartition(cores) if few else df
