@@ -1,8 +1,9 @@
 """Every registered query by name: ``(spark, table folder) -> DataFrame``.
 
-Queries up to the clean step start from the given tables. Queries that need scored facts or segment
-tables read the warehouse that one full refresh per application and folder fills in the shared folder,
-as reports read a warehouse: a few columns of Parquet, not the whole job again.
+Queries up to the clean step start from the raw inputs, which Spark derives from the given tables once
+per application and folder. Queries that need scored facts or segment tables read the warehouse that
+one full refresh fills in the shared folder, as reports do: a few columns of Parquet, not the whole job
+again.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable
+from dataclasses import fields, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +35,8 @@ from cardwarden.plans.views import FRAUD, SUSPICIOUS
 from cardwarden.plans.warehouse import SEGMENT_ADDITIONS, Warehouse, add_columns, conform_facts, insert_if_absent
 from cardwarden.session import staging_root
 from cardwarden.sources import files
-from cardwarden.sources.staging import read_stage, stage
-from cardwarden.sources.star import Inputs, cards_from, star_inputs, transactions_from, users_from
+from cardwarden.sources.staging import read_stage, spread, stage
+from cardwarden.sources.star import Inputs, cards_from, star_inputs, users_from
 from cardwarden.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +72,7 @@ class Site:
         self.root = f"{staging_root(spark)}/{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
         self.warehouse = Warehouse(spark, f"{self.root}/warehouse")
         self._run: str | None = None
+        self._inputs: Inputs | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Site":
@@ -79,7 +82,17 @@ class Site:
         return cls._known[key]
 
     def inputs(self) -> Inputs:
-        return star_inputs(self.spark, self.sf_dir)
+        """The five raw inputs, landed once as tables of text, as files would arrive."""
+        if self._inputs is None:
+            given = star_inputs(self.spark, self.sf_dir)
+            given = replace(given, transactions=spread(given.transactions))
+            self._inputs = Inputs(
+                **{f.name: stage(getattr(given, f.name), self.landing(f.name)) for f in fields(given)}
+            )
+        return self._inputs
+
+    def landing(self, name: str) -> str:
+        return f"{self.root}/landing/{name}"
 
     def run(self) -> str:
         if self._run is None:
@@ -391,10 +404,9 @@ def ml_ensemble(site: Site) -> DataFrame:
 
 
 def _event_stream(site: Site) -> DataFrame:
-    """The events file as a stream of raw transactions."""
-    schema = site.spark.read.parquet(f"{site.sf_dir}/events.parquet").schema
-    reader = site.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return transactions_from(reader.parquet(site.sf_dir))
+    """The landed raw transactions as a stream of files."""
+    schema = site.inputs().transactions.schema
+    return site.spark.readStream.schema(schema).parquet(site.landing("transactions"))
 
 
 def _stream_dirs(site: Site, name: str) -> tuple[str, str]:
