@@ -19,7 +19,8 @@ def load_newer(
     mark = target.agg(F.max(time).alias("mark")).first()["mark"]
     if mark is None:
         return upsert(target, source, key, time)
-    since = F.lit(mark).cast("timestamp_ntz") - F.expr(f"interval {overlap}")
+    # As text: a Python datetime would become an instant, read in the driver's own zone.
+    since = F.lit(str(mark)).cast("timestamp_ntz") - F.expr(f"interval {overlap}")
     return upsert(target, newer_than(source, time, since), key, time)
 
 
