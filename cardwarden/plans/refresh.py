@@ -87,14 +87,30 @@ def _at_once(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
 def run(
     spark: SparkSession, inputs: Inputs, warehouse: Warehouse, rules: ScoreRules = DEFAULT_RULES
 ) -> str:
-    """Runs every step, publishes the tables at once and returns the name of the run.
+    """Runs every step, publishes the tables at once and returns the name of the run. Success and
+    failure are both logged; after a failure the tables of the run before stay current."""
+    started = time.monotonic()
+    name = warehouse.new_run()
+    try:
+        facts = _load(inputs, warehouse, name, rules)
+        quality.assert_no_negative_amounts(facts)
+        warehouse.publish(name)
+    except Exception as error:
+        warehouse.log_run("error", None, time.monotonic() - started, str(error)[:500])
+        raise
+    warehouse.log_run(
+        "success", quality.fact_counts(facts), time.monotonic() - started, "refresh completed"
+    )
+    return name
+
+
+def _load(inputs: Inputs, warehouse: Warehouse, name: str, rules: ScoreRules) -> DataFrame:
+    """Writes all tables of a run and returns its facts.
 
     The merged table and the profiles are staged next to the warehouse; labels are staged first, so
     that the label join sees a plain scan. The facts are written once and the metrics read them back,
     a few columns each.
     """
-    started = time.monotonic()
-    name = warehouse.new_run()
     staging = f"{warehouse.root}/staging/{name}"
     labels = stage(inputs.labels, f"{staging}/labels")
     raw = replace(inputs, transactions=spread(inputs.transactions))
@@ -119,10 +135,4 @@ def run(
         "user_profiles": conform_profiles(metrics.user_profiles(facts)),
     }
     _at_once(*[partial(warehouse.write, name, table, df) for table, df in tables.items()])
-
-    quality.assert_no_negative_amounts(facts)
-    warehouse.publish(name)
-    warehouse.log_run(
-        "success", quality.fact_counts(facts), time.monotonic() - started, "refresh completed"
-    )
-    return name
+    return facts

@@ -67,6 +67,15 @@ def test_old_refreshes_expire(spark, tmp_path):
     assert warehouse.runs() == runs[1:]
 
 
+def test_failed_refresh_is_logged_and_not_published(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    given = inputs(spark)
+    broken = type(given)(given.transactions.drop("amount"), given.users, given.cards, given.mcc, given.labels)
+    with pytest.raises(Exception, match="amount"):
+        refresh.run(spark, broken, warehouse)
+    assert warehouse.runs() == [] and warehouse.run_log().first().status == "error"
+
+
 def test_no_refresh_yet(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         Warehouse(spark, str(tmp_path)).table("fraud_by_mcc")
