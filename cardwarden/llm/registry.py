@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwarden.llm import exact_dedup, mixing, packing, sharding
+from cardwarden.llm import exact_dedup, jaccard_join, mixing, packing, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bayes_jaccard_join": jaccard_join.op2_bayes_jaccard_join,
         "op3_patricia_exact_dedup": exact_dedup.op3_patricia_exact_dedup,
         "op4_histogram_shards": sharding.op4_histogram_shards,
+        "op6_recurrent_toxicity": toxicity.op6_recurrent_toxicity,
         "op7_cutting_stock_packing": packing.op7_cutting_stock_packing,
         "op8_fair_queue_mix": mixing.op8_fair_queue_mix,
     }
@@ -20,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_bayes_jaccard_join": jaccard_join.op2_bayes_jaccard_join,
         "op3_patricia_exact_dedup": exact_dedup.ORACLE_SQL,
         "op8_fair_queue_mix": mixing.ORACLE_SQL,
     }
