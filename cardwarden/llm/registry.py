@@ -6,23 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwarden.llm import exact_dedup, jaccard_join, mixing, packing, sharding, toxicity
+from cardwarden.llm import cross_entropy, exact_dedup, jaccard_join, maxscore, mixing, packing, quotations, secrets, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quotation_linking": quotations.op1_quotation_linking,
         "op2_bayes_jaccard_join": jaccard_join.op2_bayes_jaccard_join,
         "op3_patricia_exact_dedup": exact_dedup.op3_patricia_exact_dedup,
         "op4_histogram_shards": sharding.op4_histogram_shards,
+        "op5_maxscore_top_k": maxscore.op5_maxscore_top_k,
         "op6_recurrent_toxicity": toxicity.op6_recurrent_toxicity,
         "op7_cutting_stock_packing": packing.op7_cutting_stock_packing,
         "op8_fair_queue_mix": mixing.op8_fair_queue_mix,
+        "op9_cross_entropy_difference": cross_entropy.op9_cross_entropy_difference,
+        "op10_decoding_secret_scan": secrets.op10_decoding_secret_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op2_bayes_jaccard_join": jaccard_join.op2_bayes_jaccard_join,
         "op3_patricia_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op5_maxscore_top_k": maxscore.ORACLE_SQL,
         "op8_fair_queue_mix": mixing.ORACLE_SQL,
+        "op9_cross_entropy_difference": cross_entropy.ORACLE_SQL,
     }
