@@ -1,9 +1,10 @@
 """Similarity self-join on word shingles, MinHash candidates pruned by Bayesian posterior, rest verified exactly.
 
 Rows with the same set of shingles are one representative. Representatives that share a band of their MinHash
-signature meet in that band's bucket; buckets with the same members are one. A bucket is cut into blocks and
-each pair of blocks is a tile of bounded size, so no task holds a whole bucket and no pair of rows is ever a
-row of a table. Inside a tile, signatures are compared ``STEP`` values at a time: a pair is dropped as soon as
+signature meet in that band's bucket; buckets with the same members are one, and a bucket joins the larger one
+that holds a quarter of its rows, so a group of near copies is compared once and not once for each band. A bucket
+is cut into blocks and each pair of blocks is a tile of bounded size, so no task holds a whole bucket and no pair
+of rows is ever a row of a table. Inside a tile, signatures are compared ``STEP`` values at a time: a pair is dropped as soon as
 the posterior probability (uniform prior) that its similarity reaches the threshold is below ``TOLERANCE``.
 What survives is verified on the exact shingle sets. A tile gives each row its number of links and the smallest
 row of its part of the graph; parts are merged into classes by alternating star contraction.
@@ -19,7 +20,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import arrow_map, stage, table
@@ -31,7 +32,8 @@ PER_BAND = 5
 HASHES = BANDS * PER_BAND
 STEP = 20
 TOLERANCE = 1e-4
-BLOCK_ROWS = 512
+BLOCK_ROWS = 1024
+OVERLAP = 4
 BLOCK_BYTES = 24 << 20
 _SETS = "mid long, key long, n long, set_hash long, set_check long, bands array<long>, signature binary, shingles binary"
 _FOUND = "mid long, low long, links long"
@@ -110,16 +112,44 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
     return tuple(out)
 
 
-def pruned(sa: np.ndarray, sb: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs (a, b) of signature rows that no prefix of the comparison rules out."""
-    need, matched = least_matches(), np.zeros(len(a), np.int32)
-    for at in range(0, HASHES, STEP):
+def pruned(sa: np.ndarray, sb: np.ndarray, may: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b) of rows of two signature tables, of those that ``may`` marks, that no prefix of the
+    comparison rules out. While many pairs are open whole columns are compared, then pair by pair."""
+    need, matched = least_matches(), np.zeros(may.shape, np.uint8)
+    ta, tb, at = np.ascontiguousarray(sa.T), np.ascontiguousarray(sb.T), 0
+    while at < HASHES and np.count_nonzero(may) * 8 > may.size:
+        for h in range(at, at + STEP):
+            matched += (ta[h][:, None] == tb[h][None, :]).view(np.uint8)
+        at += STEP
+        may = may & (matched >= need[at])
+    a, b = np.nonzero(may)
+    matched = matched[a, b].astype(np.int32)
+    for at in range(at, HASHES, STEP):
         matched += (sa[a, at : at + STEP] == sb[b, at : at + STEP]).sum(axis=1, dtype=np.int32)
         alive = matched >= need[at + STEP]
         a, b, matched = a[alive], b[alive], matched[alive]
     return a, b
 
 
+def met_before(buckets: list[list[int]], key: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether a ``left`` and a ``right`` row also share a bucket with a smaller number than ``key``."""
+    met = np.zeros((len(left), len(right)), bool)
+    row = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
+    number = np.concatenate([np.asarray(b, np.int64) for b in buckets])
+    row, number = row[number < key], number[number < key]
+    if not len(number):
+        return met
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    place_left, place_right = np.full(len(buckets), -1), np.full(len(buckets), -1)
+    place_left[left], place_right[right] = np.arange(len(left)), np.arange(len(right))
+    for members in np.split(row, np.flatnonzero(np.diff(number)) + 1):
+        if len(members) > 1:
+            a, b = place_left[members], place_right[members]
+            met[np.ix_(a[a >= 0], b[b >= 0])] = True
+    return met
+
+
 def similar(common, na, nb):
     return common * 5 >= 4 * (na + nb - common)
 
@@ -147,30 +177,27 @@ def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 def tile_links(rows: list[tuple], key: int, same: bool) -> list[tuple[int, int, int]]:
     """(mid, smallest mid of its part, links) of the rows of a tile that have a link there.
 
-    A row is (mid, weight, bands, signature, shingles, is left). A pair belongs to the first bucket its rows share.
+    A row is (mid, weight, buckets, signature, shingles, is left). A pair belongs to the smallest bucket its rows
+    share.
     """
     side = np.array([r[5] for r in rows])
     left = np.arange(len(rows)) if same else np.flatnonzero(side)
     right = left if same else np.flatnonzero(~side)
     if not len(left) or not len(right):
         return []
-    bands = np.array([r[2] for r in rows], np.int64)
     sig = np.stack([np.frombuffer(r[3], np.uint32) for r in rows])
-    band = int(np.flatnonzero(bands[0] == key)[0])
     sets = [np.frombuffer(r[4], np.uint64) for r in rows]
     sizes = np.array([len(s) for s in sets], np.int64)
+    met = met_before([r[2] for r in rows], key, left, right)
     found_a, found_b = [], []
     for at in range(0, len(left), 128):
         part = left[at : at + 128]
-        a, b = (x.reshape(-1) for x in np.meshgrid(part, right, indexing="ij"))
+        may = ~met[at : at + 128]
         if same:
-            a, b = a[a < b], b[a < b]
-        for p in range(band):
-            first = (bands[a, p] != bands[b, p]) | (bands[a, p] == 0)
-            a, b = a[first], b[first]
-        a, b = pruned(sig, sig, a, b)
-        found_a.append(a)
-        found_b.append(b)
+            may &= part[:, None] < right[None, :]
+        a, b = pruned(sig[part], sig[right], may)
+        found_a.append(part[a])
+        found_b.append(right[b])
     a, b = np.concatenate(found_a), np.concatenate(found_b)
     if not len(a):
         return []
@@ -240,6 +267,28 @@ def classes(edges: DataFrame, name: str) -> DataFrame:
         seen = state
 
 
+def bucket_homes(reps: DataFrame, name: str) -> DataFrame:
+    """(mid, size, bucket): the buckets of more than one row that each representative belongs to, each once.
+
+    Buckets with the same members are one. Each row names the largest of its buckets; a bucket joins the one
+    that most of its rows name if these are at least one in ``OVERLAP``. A joined bucket holds all rows of its
+    parts, so no pair that met is lost.
+    """
+    places = reps.select("mid", "size", F.explode("bands").alias("bucket"))
+    buckets = places.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("mid")).alias("x"), F.bit_xor(F.xxhash64("mid", F.lit(1))).alias("y"),
+    ).where("rows > 1")
+    kept = buckets.groupBy("rows", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "rows")
+    held = stage(places.join(kept, "bucket"), f"{name}-places")
+    largest = F.max(F.struct("rows", "bucket")).over(Window.partitionBy("mid"))  # at most one row per band
+    named = held.select("bucket", "rows", largest["bucket"].alias("top")).groupBy("bucket", "top").agg(F.count(F.lit(1)).alias("votes"), F.max("rows").alias("rows"))
+    best = named.groupBy("bucket", "rows").agg(F.max(F.struct("votes", "top")).alias("best"))
+    joined = best.where(F.col("best.votes") * OVERLAP >= F.col("rows")).select(F.col("bucket").alias("mid"), F.col("best.top").alias("low"))
+    merged = classes(joined, f"{name}-buckets").withColumnRenamed("mid", "bucket")
+    homes = held.join(merged, "bucket", "left").select("mid", "size", F.coalesce("class", "bucket").alias("bucket")).distinct()
+    return stage(homes, f"{name}-homes")
+
+
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name: str = "jaccard") -> DataFrame:
     """One row per row of ``docs``: its key, ``class_id`` (smallest key of its class), ``links`` (other rows with
     similarity of at least 0.8, copies included) and ``kept`` (one row of each class).
@@ -257,18 +306,13 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
     groups = stage(groups, f"{name}-groups")
     reps = sets.select("mid", "bands", F.col("n").alias("size")).join(groups.select(F.col("rep").alias("mid"), "weight"), "mid")
     reps = stage(reps, f"{name}-reps")
-    places = reps.select("mid", "size", F.explode("bands").alias("bucket"))
-    buckets = places.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("size") * 8 + 700).alias("bytes"),
-        F.bit_xor(F.xxhash64("mid")).alias("x"), F.bit_xor(F.xxhash64("mid", F.lit(1))).alias("y"),
-    ).where("rows > 1")
-    kept = buckets.groupBy("rows", "x", "y").agg(F.min("bucket").alias("bucket"), F.max("bytes").alias("bytes"))
+    homes = bucket_homes(reps, name)
+    stats = homes.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("size") * 8 + 700).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
-    held = stage(places.select("mid", "bucket").join(kept.select("bucket", blocks.alias("blocks")), "bucket"), f"{name}-places")
-    mine = held.groupBy("mid").agg(F.collect_list(F.struct("bucket", "blocks")).alias("mine"))  # at most one per band
+    mine = homes.select("mid", "bucket").join(stats.select("bucket", blocks.alias("blocks")), "bucket")
+    mine = mine.groupBy("mid").agg(F.collect_list(F.struct("bucket", "blocks")).alias("mine"))  # at most one per band
     payload = reps.join(mine, "mid").join(sets.select("mid", "signature", "shingles"), "mid")
-    aligned = F.transform("bands", lambda k: F.when(F.array_contains(F.transform("mine", lambda x: x["bucket"]), k), k).otherwise(0))
-    sent = payload.select("mid", "weight", aligned.alias("bands"), "signature", "shingles", F.explode("mine").alias("m"))
+    sent = payload.select("mid", "weight", F.col("mine.bucket").alias("bands"), "signature", "shingles", F.explode("mine").alias("m"))
     block = F.pmod(F.xxhash64("mid", F.lit(2)), F.col("m.blocks")).cast("int")
     sent = sent.select("*", block.alias("block")).select("*", F.explode(F.sequence(F.lit(0), F.col("m.blocks") - 1)).alias("other"))
     tiles = sent.select(

@@ -1,6 +1,7 @@
 import random
 import re
 
+from cardwarden.llm import jaccard_join as module
 from cardwarden.llm.jaccard_join import jaccard_join, least_matches
 
 
@@ -38,7 +39,7 @@ def corpus():
             rows.append((key, " ".join(copy)))
             key += 1
     hot = [r.choice(words) for _ in range(200)]
-    for _ in range(700):  # more than one block
+    for _ in range(600):  # more than one block
         copy = list(hot)
         copy[r.randrange(200)] = r.choice(words)
         rows.append((key, " ".join(copy)))
@@ -46,7 +47,8 @@ def corpus():
     return [*rows, (key, None), (key + 1, ""), (key + 2, "one two"), (key + 3, "One, two!"), (key + 4, "?!")]
 
 
-def test_equals_brute_force(spark):
+def test_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_ROWS", 256)
     rows = corpus()
     found = jaccard_join(spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, links string").repartition(7)).collect()
     assert {r["doc_id"]: (r["class_id"], r["links"]) for r in found} == brute(rows)
