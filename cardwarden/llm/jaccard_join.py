@@ -14,7 +14,8 @@ A pair at the threshold misses every band with probability (1 - 0.8 ** 5) ** 24,
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from math import comb
 
@@ -267,6 +268,19 @@ def classes(edges: DataFrame, name: str) -> DataFrame:
         seen = state
 
 
+@contextmanager
+def early_filter(spark: SparkSession) -> Iterator[None]:
+    """Spark's runtime Bloom filters at every size of the filtered table: most rows have no candidate, and their
+    wide signatures and shingles then drop out before the shuffle."""
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bucket_homes(reps: DataFrame, name: str) -> DataFrame:
     """(mid, size, bucket): the buckets of more than one row that each representative belongs to, each once.
 
@@ -311,7 +325,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     mine = homes.select("mid", "bucket").join(stats.select("bucket", blocks.alias("blocks")), "bucket")
     mine = mine.groupBy("mid").agg(F.collect_list(F.struct("bucket", "blocks")).alias("mine"))  # at most one per band
-    payload = reps.join(mine, "mid").join(sets.select("mid", "signature", "shingles"), "mid")
+    wanted = stage(reps.select("mid", "weight").join(mine, "mid"), f"{name}-wanted")  # a written table: its size decides how sets meet it
+    payload = sets.select("mid", "signature", "shingles").join(wanted.where("weight > 0"), "mid")  # a filtered side: Spark may build a Bloom filter of it
     sent = payload.select("mid", "weight", F.col("mine.bucket").alias("bands"), "signature", "shingles", F.explode("mine").alias("m"))
     block = F.pmod(F.xxhash64("mid", F.lit(2)), F.col("m.blocks")).cast("int")
     sent = sent.select("*", block.alias("block")).select("*", F.explode(F.sequence(F.lit(0), F.col("m.blocks") - 1)).alias("other"))
@@ -320,7 +335,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
         "mid", "weight", "bands", "signature", "shingles",
     )
     tiles = tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    found = stage(arrow_map(tiles, _tiles, _FOUND), f"{name}-found")
+    with early_filter(docs.sparkSession):
+        found = stage(arrow_map(tiles, _tiles, _FOUND), f"{name}-found")
     linked = found.groupBy("mid").agg(F.sum("links").alias("others")).withColumnRenamed("mid", "rep")
     merged = classes(found.select("mid", "low"), name).withColumnRenamed("mid", "rep")
     group = groups.join(linked, "rep", "left").join(merged, "rep", "left")
