@@ -467,8 +467,7 @@ def _on(table: str, report: Callable[..., DataFrame], *args, **kwargs) -> Callab
 
 
 def amount_histogram_sampled(site: Site) -> DataFrame:
-    stored = site.table("fraud_metrics_global").first()["total_transactions"]
-    return overview.amount_histogram(site.facts(), fraction=overview.sample_fraction(stored))
+    return overview.amount_histogram(site.facts(), fraction=overview.SAMPLE_FRACTION)
 
 
 # Reports with a fraud view and a suspicion view: name -> (function of table and view, table).

@@ -9,6 +9,8 @@ from cardwarden.functions.parsing import parse_date, parse_flag, parse_money
 
 MONEY_COLUMNS = ("amount", "credit_limit", "yearly_income", "total_debt")
 FLAG_COLUMNS = ("has_chip", "card_on_dark_web")
+# The least amount that, rounded to cents, does not fit the stored decimal(12,2).
+AMOUNT_LIMIT = 1e10 - 0.005
 
 
 def type_columns(df: DataFrame) -> DataFrame:
@@ -26,8 +28,9 @@ def type_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_transactions(merged: DataFrame) -> DataFrame:
-    """Rows with a readable date and an amount of zero or more."""
-    return type_columns(merged).where("amount >= 0 and transaction_date is not null")
+    """Rows with a readable date and an amount of zero or more that the warehouse can hold."""
+    storable = (F.col("amount") >= 0) & (F.col("amount") < AMOUNT_LIMIT)  # NaN is above every number
+    return type_columns(merged).where(storable & F.col("transaction_date").isNotNull())
 
 
 def rejected_rows(merged: DataFrame) -> DataFrame:
@@ -35,6 +38,7 @@ def rejected_rows(merged: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("amount").isNull(), "amount_unreadable")
         .when(F.col("amount") < 0, "amount_negative")
+        .when(F.col("amount") >= AMOUNT_LIMIT, "amount_not_storable")
         .when(F.col("transaction_date").isNull(), "date_unreadable")
     )
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardwarden.functions.numbers import percent, ratio
 from cardwarden.operators.metrics import MERCHANT_KEYS
 
-MIN_MERCHANTS, DEFAULT_MERCHANTS, MAX_MERCHANTS = 5, 15, 30
+DEFAULT_MERCHANTS = 15
 
 
 def merchant_kpis(by_merchant: DataFrame) -> DataFrame:
@@ -41,7 +41,6 @@ def merchant_concentration(by_merchant: DataFrame, n: int = 10) -> DataFrame:
 
 def top_merchants(by_merchant: DataFrame, n: int = DEFAULT_MERCHANTS) -> DataFrame:
     """Most exposed merchants, by amount at risk or, where that is zero, by number of frauds."""
-    n = max(MIN_MERCHANTS, min(n, MAX_MERCHANTS))
     exposure = F.coalesce(
         F.nullif(F.col("amount_at_risk").cast("double"), F.lit(0.0)), F.col("total_fraud").cast("double")
     )

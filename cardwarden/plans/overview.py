@@ -11,7 +11,7 @@ from cardwarden.functions.numbers import fixed_bin, money_avg, money_sum, money_
 from cardwarden.plans.views import FRAUD, View
 
 AMOUNT_TOP, AMOUNT_BINS = 2000, 50
-SAMPLE_FRACTION, SAMPLE_ROWS = 0.02, 100_000
+SAMPLE_FRACTION = 0.02
 
 
 def kpis(facts: DataFrame, view: View = FRAUD) -> DataFrame:
@@ -39,26 +39,20 @@ def channel_breakdown(facts: DataFrame, view: View = FRAUD) -> DataFrame:
     )
 
 
-def sample_fraction(total_rows: int) -> float:
-    """Two percent, or less where that would give far more rows than the sample may hold: a limit
-    sends what it cuts off through one task."""
-    return min(SAMPLE_FRACTION, 1.2 * SAMPLE_ROWS / max(total_rows, 1))
-
-
 def amount_histogram(
     facts: DataFrame, view: View = FRAUD, fraction: float | None = None, seed: int = 42
 ) -> DataFrame:
     """Share of each class per amount bin, for amounts from 0 to 2000.
 
-    With ``fraction`` (see ``sample_fraction``), the unflagged class is a Bernoulli sample of at most
-    100,000 rows, which is all a chart needs; without it, every row counts.
+    With ``fraction``, the unflagged class is a Bernoulli sample, whatever the size of the table; without
+    it, every row counts.
     """
     flag = F.col(view.flag)
     shown = facts.where(F.col("amount").between(0, AMOUNT_TOP)).select("amount", view.flag)
     if fraction is None:
         rows = shown
     else:
-        rest = shown.where(~flag).sample(fraction=fraction, seed=seed).limit(SAMPLE_ROWS)
+        rest = shown.where(~flag).sample(fraction=fraction, seed=seed)
         rows = shown.where(flag).unionByName(rest)
     width = AMOUNT_TOP / AMOUNT_BINS
     binned = rows.select(

@@ -96,7 +96,7 @@ def run(
         quality.assert_no_negative_amounts(facts)
         warehouse.publish(name)
     except Exception as error:
-        warehouse.log_run("error", None, time.monotonic() - started, str(error)[:500])
+        warehouse.log_run("error", None, time.monotonic() - started, str(error))
         raise
     warehouse.log_run(
         "success", quality.fact_counts(facts), time.monotonic() - started, "refresh completed"

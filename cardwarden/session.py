@@ -50,11 +50,14 @@ _fallback_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for staged tables and streaming checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    a fresh temporary folder is chosen, once per application.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset on a local master (tests,
+    a laptop) a fresh temporary folder is chosen, once per application; off a local master that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         app = spark.sparkContext.applicationId
         if app not in _fallback_dirs:
             _fallback_dirs[app] = tempfile.mkdtemp(prefix="cardwarden-")
