@@ -47,7 +47,8 @@ class PatriciaTrie:
     """Byte strings to values; ``merge`` joins the values of equal strings.
 
     Once the labels take more than ``limit`` bytes, the heaviest subtree below the first branch goes to a
-    temporary file of the task, as (rest of key, value); later keys of that subtree follow it there.
+    temporary file of the task, as (rest of key, value); later keys of that subtree follow it there. Where a
+    part of the subtree was spilled before, its file is copied into the new one.
     ``drain`` gives all values, in-memory ones first, then each spilled subtree through a trie of its own.
     """
 
@@ -82,12 +83,28 @@ class PatriciaTrie:
         if self.held > self.limit:
             self._spill()
 
+    @staticmethod
+    def _read(file) -> Iterator[tuple[bytes, object]]:
+        """What was spilled to ``file``, which is then closed."""
+        file.seek(0)
+        while True:
+            try:
+                entry = pickle.load(file)
+            except EOFError:
+                break
+            yield entry
+        file.close()
+
     @staticmethod
     def _entries(node: Node, prefix: bytes) -> Iterator[tuple[bytes, object]]:
+        """All of a subtree, what was spilled below it included; those files are used up."""
         stack = [(node, prefix)]
         while stack:
             node, prefix = stack.pop()
-            if node.value is not None:
+            if node.spilled is not None:
+                for rest, value in PatriciaTrie._read(node.spilled):
+                    yield prefix + rest, value
+            elif node.value is not None:
                 yield prefix, node.value
             for child in node.children.values():
                 stack.append((child, prefix + child.label))
@@ -97,7 +114,8 @@ class PatriciaTrie:
         total, stack = 0, [node]
         while stack:
             node = stack.pop()
-            total += len(node.label) + 200
+            if node.spilled is None:
+                total += len(node.label) + 200
             stack.extend(node.children.values())
         return total
 
@@ -128,14 +146,8 @@ class PatriciaTrie:
         self.root = Node(b"")
         for file, at in files:
             inner = PatriciaTrie(self.merge, self.limit)
-            file.seek(0)
-            while True:
-                try:
-                    rest, value = pickle.load(file)
-                except EOFError:
-                    break
+            for rest, value in self._read(file):
                 inner.insert(rest, value)
-            file.close()
             yield from inner.drain(at)
 
 
@@ -213,11 +225,12 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", keep: st
         F.col("__length").alias("__l"), F.col("__sha").alias("__s"), F.col("__best").alias("__keep"),
         F.col("__tag").alias("__owner"), F.col("__n").alias("__rows"),
     )
-    found = marked.join(owners, (F.col("__length") == F.col("__l")) & (F.col("__sha") == F.col("__s")))
+    found = marked.join(owners, (F.col("__length") == F.col("__l")) & (F.col("__sha") == F.col("__s")), "left")
+    owned = lambda c: F.when(F.col("__owner").isNull(), F.raise_error(F.lit("exact_dedup: a row without an owner"))).otherwise(c)
     rest = [c for c in df.columns if c not in added]
     return found.select(
-        *rest, F.col("__keep").alias("keep_id"), F.col("__rows").alias("group_size"),
-        (F.col("__tag") == F.col("__owner")).alias("kept"), F.col("__sha").alias("text_sha256"),
+        *rest, owned(F.col("__keep")).alias("keep_id"), owned(F.col("__rows")).alias("group_size"),
+        owned(F.col("__tag") == F.col("__owner")).alias("kept"), F.col("__sha").alias("text_sha256"),
     )
 
 
