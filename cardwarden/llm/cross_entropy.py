@@ -31,9 +31,10 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, key: str =
     empty its model is the uniform one. Extra columns are not carried; no rows give no rows.
     """
     ids = target_ids.select(F.col(key).alias("__key")).where("__key IS NOT NULL").distinct()
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0))
     numbered = F.concat(F.array(F.lit(0).cast("long")), F.transform(words, lambda w: F.xxhash64(w)))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), numbered.alias("w"))
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = stage(texts, f"{name}-texts").select("row", "key", numbered.alias("w"))  # a second reading of docs may number its rows otherwise
     sides = stage(rows.select("row", "key", (F.size("w") - 1).cast("long").alias("tokens")).join(ids.withColumn("t", F.lit(1)), F.col("key") == F.col("__key"), "left").select("row", "key", "tokens", F.coalesce("t", F.lit(0)).cast("long").alias("t")), f"{name}-sides")
     size = F.size("w") - 1
     pairs = F.zip_with(F.slice("w", F.lit(1), size), F.slice("w", F.lit(2), size), lambda a, b: F.struct(a.alias("prev"), b.alias("word")))

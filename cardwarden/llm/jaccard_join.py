@@ -303,17 +303,19 @@ def bucket_homes(reps: DataFrame, name: str) -> DataFrame:
     return stage(homes, f"{name}-homes")
 
 
-def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name: str = "jaccard") -> DataFrame:
+def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name: str = "jaccard", row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: its key, ``class_id`` (smallest key of its class), ``links`` (other rows with
     similarity of at least 0.8, copies included) and ``kept`` (one row of each class).
 
     Words are runs of letters, digits and underscores, in lower case. Texts without words, null ones among
     them, have no links and are classes of their own; so do they stay. Repeated rows are copies. Of rows with
     one key, one stays; a null key counts after all others. Extra columns are not carried; no rows give no rows.
+    ``row`` names a column of distinct numbers that is to be ``row_id``; without it rows are numbered here.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     words = F.transform(F.filter(F.split(F.lower(content), r"(?U)\W+"), lambda w: w != ""), lambda w: F.xxhash64(w))
-    raw = docs.select(F.monotonically_increasing_id().alias("mid"), F.col(key).cast("long").alias("key"), words.alias("words"))
+    mid = F.col(row).cast("long") if row else F.monotonically_increasing_id()
+    raw = docs.select(mid.alias("mid"), F.col(key).cast("long").alias("key"), words.alias("words"))
     sets = stage(arrow_map(raw, _sets, _SETS), f"{name}-sets")
     same = ["n", "set_hash", "set_check"]
     groups = sets.where("n > 0").groupBy(*same).agg(F.min("mid").alias("rep"), F.count(F.lit(1)).alias("weight"))

@@ -25,11 +25,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies. Rows are told apart by their place, so repeated and null ids do no
-    harm; ``docs`` is a written table and gives the same places again."""
-    joined = jaccard_join(docs, name="pipeline-near")
+    """One row of each class of near copies. Rows are told apart by a number that is written with them, so repeated
+    and null ids do no harm."""
+    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-numbered")
+    joined = jaccard_join(numbered, name="pipeline-near", row="__row")
     kept = joined.where("kept").select(F.col("row_id").alias("__kept"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
+    return numbered.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
