@@ -1,9 +1,11 @@
 """Secret scan with a worklist of decoded layers.
 
 The text itself is the first layer. Every layer is scanned, and each stretch of it that is URL-encoded, holds
-Unicode escapes, or is base64 of readable or compressed text becomes a layer of its own, until nothing new is
-found; a layer seen before at the same place is not entered again. Each character of a layer knows the stretch
-of the text that it came from, so finds are spans of the text.
+Unicode escapes or is base64, wrapped or not and at any of its four alignments, becomes a layer of its own, and
+so does all compressed data in the bytes of a decoded layer, until nothing new is found; a layer seen before at
+the same place is not entered again. Bytes that are no UTF-8 are kept as surrogates. Each character of a layer
+knows the stretch of the text that it came from, so finds are spans of the text. What comes out of compressed
+data maps to the whole stretch, so a large one is written to a temporary file and scanned in parts.
 """
 
 from __future__ import annotations
@@ -11,9 +13,12 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
+import mmap
 import re
+import tempfile
 import urllib.parse
 import zlib
 from collections.abc import Callable, Iterator
@@ -34,7 +39,14 @@ URL = re.compile(r"[!-~]*%[0-9A-Fa-f]{2}[!-~]*")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)")
 ESCAPED = re.compile(rf"[!-~]*{ESCAPES.pattern}[!-~]*")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-MAX_LAYER = 64 << 20  # what a compressed layer may grow to; beyond it the layer is no text and is left closed
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
+# what a decoded layer must hold to give a find or a further layer
+WORTH = re.compile(rb"(?i:password|passwd|secret|token|api_?key)|AKIA|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}|" + MAGIC.pattern)
+# behind such a place no token of any kind goes on
+BREAK = re.compile(r"""[^\x20-~\r\n\t]|[^A-Za-z0-9+/_=\r\n\t\x20-]\r?\n|\n\r?\n|[!-~](?<![dDnNtTyY"':=])\x20""")
+BLOCK = 8 << 20  # what is inflated and scanned at a time
+HELD = 64 << 20  # what inflated data may take in memory; more goes to a temporary file
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -44,29 +56,92 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
-def inflated(data: bytes) -> bytes | None:
-    """Contents of gzip, zlib, bzip2 or xz data."""
-    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0):
-        opener = zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        opener = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\0":
-        opener = lzma.LZMADecompressor()
-    else:
-        return None
+def _opener(head: bytes):
+    if head[:2] == b"\x1f\x8b" or (len(head) > 2 and head[0] & 143 == 8 and int.from_bytes(head[:2], "big") % 31 == 0):
+        return zlib.decompressobj(47)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor(lzma.FORMAT_XZ) if head[:6] == b"\xfd7zXZ\0" else None
+
+
+def inflated(data, at: int, end: list[int]) -> Iterator[bytes]:
+    """Contents of the gzip, zlib, bzip2 or xz members that begin at ``at``, in blocks; of a broken member what
+    comes out of it. ``end`` gets the end of the last whole member."""
+    while (opener := _opener(bytes(data[at : at + 6]))) is not None:
+        try:
+            while not opener.eof:
+                given = bytes(data[at : at + (1 << 20)])
+                at += len(given)
+                piece, out = given, b"."
+                while (piece or len(out) == BLOCK) and not opener.eof:  # a full block may leave more inside
+                    out = opener.decompress(piece, BLOCK)
+                    piece = getattr(opener, "unconsumed_tail", b"")
+                    if out:
+                        yield out
+                if not given:
+                    return
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return
+        at -= len(opener.unused_data)
+        end[0] = at
+
+
+def _spooled(blocks: Iterator[bytes]):
+    """The blocks as one buffer, in a temporary file where they are large."""
+    held, size, file = [], 0, None
+    for block in blocks:
+        held.append(block)
+        size += len(block)
+        if size > HELD and file is None:
+            file = tempfile.TemporaryFile()
+        if file is not None:
+            file.writelines(held)
+            held = []
+    if file is None:
+        return b"".join(held)
+    file.flush()
+    return mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+
+
+def _parts(data) -> Iterator[str]:
+    """Text of ``data`` in parts of about a block, cut where no token is open."""
+    decoder, held = codecs.getincrementaldecoder("utf-8")("surrogateescape"), []
+    for at in range(0, len(data), BLOCK):
+        text = decoder.decode(bytes(data[at : at + BLOCK]), at + BLOCK >= len(data))
+        tail = held[-1][-2:] if held else ""
+        cut = 0
+        for low in range(max(0, len(text) - (1 << 16)), -1, -(1 << 16)) if at + BLOCK < len(data) else ():
+            for m in BREAK.finditer(text, low, min(len(text), low + (1 << 16) + 4)):
+                cut = m.end()
+            if cut:
+                break
+        else:
+            if at + BLOCK < len(data) and (m := BREAK.search(tail + text[:2])) and m.end() > len(tail):
+                cut = m.end() - len(tail)
+        if cut:
+            yield "".join([*held, text[:cut]])
+            held = []
+        held.append(text[cut:])
+    if held:
+        yield "".join(held)
+
+
+def _bytes_of(layer: str) -> list[bytes]:
+    """Bytes that a decoded layer may stand for: its characters up to 255 themselves, or UTF-8."""
     try:
-        out = opener.decompress(data, MAX_LAYER)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-    return out if opener.eof else None
+        out = [layer.encode("utf-8", "surrogateescape")]
+    except UnicodeEncodeError:
+        out = [layer.encode("utf-8", "replace")]
+    if not layer.isascii() and max(layer) <= "\xff":
+        out.append(layer.encode("latin-1"))
+    return out
+
+
+def _byte_ends(layer: str) -> np.ndarray:
+    """End of each character in the UTF-8 bytes of ``layer``."""
+    code = np.frombuffer(layer.encode("utf-32-le", "surrogatepass"), "<u4")
+    size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+    return np.cumsum(np.where((code >= 0xDC80) & (code <= 0xDCFF), 1, size))
 
 
 def _url(token: str) -> tuple[str, list[tuple[int, int]]] | None:
@@ -100,49 +175,108 @@ def _escapes(token: str) -> tuple[str, list[tuple[int, int]]] | None:
     return "".join(out), places + [(i, i + 1) for i in range(at, len(token))]
 
 
-def _base64(token: str) -> tuple[str, list[tuple[int, int]]] | None:
-    body = token.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    opened = inflated(data)
-    if opened is not None:
-        text = _readable(opened)
-        return (text, [(0, len(token))] * len(text)) if text else None
-    text = _readable(data)
-    if not text:
-        return None
-    places, at = [], 0
-    for c in text:
-        end = at + len(c.encode("utf-8"))
-        places.append((at * 8 // 6, min(-(-end * 8 // 6), len(token))))
-        at = end
-    return text, places
-
-
-def layers(text: str) -> Iterator[tuple[str, np.ndarray | None]]:
-    """The text and all decoded layers below it, with (start, end) in the text of each character."""
-    work, seen = [(text, None)], set()
-    while work:
-        layer, places = work.pop()
-        yield layer, places
-        for pattern, unwrap, sign in ((URL, _url, "%"), (ESCAPED, _escapes, ("\\", "&#")), (BASE64, _base64, "")):
-            if not any(s in layer for s in ([sign] if isinstance(sign, str) else sign)):
-                continue
-            for m in pattern.finditer(layer):
-                found = unwrap(m.group())
-                if not found or found[0] == m.group():
+def _base64(token: str) -> Iterator[tuple[str, np.ndarray]]:
+    """Texts of the four alignments, as far as they hold anything."""
+    body = token.rstrip("=")
+    kept = np.arange(len(body))
+    if "\n" in body:
+        kept = np.array([i for i, c in enumerate(body) if c not in "\r\n\t "], np.int64)
+        body = re.sub(r"[\r\n\t ]", "", body)
+    body = body.replace("-", "+").replace("_", "/")
+    for skip in range(4):
+        part = body[skip : len(body) - ((len(body) - skip) % 4 == 1)]
+        try:
+            data = base64.b64decode(part + "=" * (-len(part) % 4), validate=True)
+        except (binascii.Error, ValueError):
+            continue
+        if not WORTH.search(data) and _opener(data[:6]) is None:
+            continue
+        text = data.decode("utf-8", "surrogateescape")
+        ends = _byte_ends(text)
+        starts = np.concatenate([[0], ends[:-1]])
+        last = np.minimum(-(-ends * 8 // 6), len(part)) - 1
+        places = np.stack([kept[skip + starts * 8 // 6], kept[skip + last] + 1], axis=1)
+        if skip == 0 and _opener(data[:6]):
+            places[-1, 1] = len(token)
+        yield text, places
+
+
+def _once(unwrap: Callable) -> Callable:
+    def run(token: str) -> Iterator[tuple[str, np.ndarray]]:
+        text, places = unwrap(token)
+        if text != token:
+            yield text, np.asarray(places, np.int64)
+
+    return run
+
+
+def _opened(layer: str, places: np.ndarray, seen: set) -> Iterator[tuple[str, tuple[int, int]]]:
+    """Parts of all compressed data in the bytes of a decoded layer, and in what comes out of it."""
+    for raw in _bytes_of(layer):
+        if not MAGIC.search(raw) and _opener(raw[:6]) is None:
+            continue
+        ends = _byte_ends(layer) if len(raw) != len(layer) else np.arange(1, len(layer) + 1)
+        work = [(raw, None)]
+        while work:
+            data, span = work.pop()
+            at = 0
+            while at < len(data):
+                if at or _opener(bytes(data[:6])) is None:
+                    found = MAGIC.search(data, at)
+                    if found is None:
+                        break
+                    at = found.start()
+                end = [0]
+                inner = _spooled(inflated(data, at, end))
+                stop = end[0] or len(data)
+                place = span
+                if span is None:
+                    first, last = np.searchsorted(ends, at, "right"), np.searchsorted(ends, stop, "left")
+                    place = (int(places[first, 0]), int(places[min(last, len(places) - 1), 1]))
+                at = end[0] or at + 1
+                if not len(inner):
                     continue
-                inner = np.asarray(found[1], np.int64) + m.start()
-                if places is not None:
+                mark = (hashlib.sha256(inner).digest(), *place)
+                if mark in seen:
+                    continue
+                seen.add(mark)
+                for part in _parts(inner):
+                    yield part, place
+                work.append((inner, place))
+
+
+def _below(layer: str, places, seen: set) -> Iterator[tuple[str, np.ndarray | tuple[int, int]]]:
+    """The layers right below one, and the compressed data in their bytes."""
+    for pattern, unwrap, signs in ((URL, _once(_url), "%"), (ESCAPED, _once(_escapes), ("\\", "&#")), (BASE64, _base64, ""), (WRAPPED, _base64, "\n")):
+        if not any(s in layer for s in ([signs] if isinstance(signs, str) else signs)):
+            continue
+        for m in pattern.finditer(layer):
+            for text, inner in unwrap(m.group()):
+                if not text:
+                    continue
+                inner = inner + m.start()
+                if isinstance(places, tuple):
+                    inner = np.broadcast_to(np.array(places, np.int64), (len(text), 2))
+                elif places is not None:
                     inner = np.stack([places[inner[:, 0], 0], places[inner[:, 1] - 1, 1]], axis=1)
-                mark = (hashlib.sha256(found[0].encode("utf-8", "surrogatepass")).digest(), int(inner[0, 0]), int(inner[-1, 1]))
+                mark = (hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), int(inner[0, 0]), int(inner[-1, 1]))
                 if mark not in seen:
                     seen.add(mark)
-                    work.append((found[0], inner))
+                    yield text, inner
+                    yield from _opened(text, inner, seen)
+
+
+def layers(text: str) -> Iterator[tuple[str, np.ndarray | tuple[int, int] | None]]:
+    """The text and all decoded layers below it, with (start, end) in the text of each character, or of all."""
+    seen: set = set()
+    work = [iter([(text, None)])]
+    while work:
+        found = next(work[-1], None)
+        if found is None:
+            work.pop()
+            continue
+        yield found
+        work.append(_below(*found, seen))
 
 
 def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -153,6 +287,8 @@ def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, in
         found = scan(layer)
         if places is None:
             base = found
+        elif isinstance(places, tuple):
+            found = [(k, *places) for k in {k for k, _, _ in found}]
         else:
             found = [(k, int(places[a:b, 0].min()), int(places[a:b, 1].max())) for k, a, b in found]
         every.update(found)
