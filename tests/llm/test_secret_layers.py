@@ -8,6 +8,7 @@ import zlib
 
 import pytest
 
+from cardwarden.llm import secrets
 from cardwarden.llm.secrets import all_spans
 
 SECRET = b"password = hunter2hunter2"
@@ -37,3 +38,25 @@ def test_planted(hidden):
     base, every = all_spans(f"before {hidden} after")
     assert base == [] and {k for k, _, _ in every} == {"assign"}
     assert all(7 <= a < b <= 7 + len(hidden) for _, a, b in every)
+
+
+def test_large_compressed_layer_is_scanned():
+    line = b"nothing to see in this line of the log, number 12345\n"
+    data = line * 700_000 + SECRET + b"\n" + line * 700_000 + b"AKIA" + b"Z" * 16 + b"\n"
+    assert len(data) > 64 << 20
+    _, every = all_spans(f"before {B64(gzip.compress(data, 1))} after")
+    assert {k for k, _, _ in every} == {"assign", "access"}
+
+
+def test_parts_do_not_cut_tokens(monkeypatch):
+    rng = random.Random(2)
+    words = ["password", " = ", "'", "hunter2hunter2", "\n", " ", "AKIA" + "Z" * 16, "0a" * 12, "é", B64(SECRET), "%41", ".", "\n".join(textwrap.wrap(B64(NOISE + SECRET), 76))]
+    for block in (50, 64, 333):
+        monkeypatch.setattr(secrets, "BLOCK", block)
+        for _ in range(60):
+            data = "".join(rng.choices(words, k=60)).encode()
+            parts = list(secrets._parts(data))
+            assert "".join(parts).encode() == data
+            kinds = lambda texts: sorted(k for t in texts for k, _, _ in secrets.scan(t))
+            runs = lambda texts: sorted(m.group() for t in texts for m in secrets.WRAPPED.finditer(t))
+            assert kinds(parts) == kinds([data.decode()]) and runs(parts) == runs([data.decode()])
