@@ -31,7 +31,8 @@ class IdBytes:
     """A text's ids as little-endian 32-bit bytes, equal to those of ``tokenizers``.
 
     The byte-level rule never joins what a single space before a non-space separates, so a text is cut
-    there and each distinct chunk is encoded once. Texts with other runs of spaces are encoded whole.
+    there and each distinct chunk is encoded once. Texts with other runs of spaces, or with the string of an
+    added token, are encoded whole.
     The cache only saves time; it is emptied when it is full.
     """
 
@@ -39,7 +40,7 @@ class IdBytes:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -49,7 +50,7 @@ class IdBytes:
         if not text:
             return b""
         first, *rest = text.split(" ")
-        if not rest or text[-1].isspace() or any(not c or c[0].isspace() for c in rest):
+        if not rest or text[-1].isspace() or any(not c or c[0].isspace() for c in rest) or any(t in text for t in self.added):
             return self._encode([text])[0]
         cache = self.cache
         try:
