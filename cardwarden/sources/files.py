@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from cardwarden.sources.validate import require_columns
 
 DELIMITERS = (",", ";", "\t", "|")
 _PAIR = r'"((?:[^"\\]|\\.)*)"\s*:\s*"((?:[^"\\]|\\.)*)"'
+_STRING = r'"(?:[^"\\]|\\.)*"'
+_WHOLE = rf"(?s)^(?:[\s{{}}]*{_STRING}\s*:\s*(?:{_STRING}|\{{))+[\s{{}}]*$"
 
 
 def choose_delimiter(lines: list[str]) -> str:
@@ -113,8 +115,10 @@ def load_labels(spark: SparkSession, path: str) -> DataFrame:
     """Label object, nested under ``target`` or flat, to (transaction_id, is_fraud) rows.
 
     The object may hold billions of pairs, so it is never parsed as one value: the text is cut at
-    commas, in parallel, and each piece gives up its "id": "answer" pairs. As in any JSON object, a
-    repeated id keeps its last answer; the repeats are merged before the shuffle.
+    commas, in parallel, and each piece gives up its "id": "answer" pairs. Pieces that are not whole
+    pairs, as where a comma stands in an id, are first put together again from quote to quote; only
+    they are put in order, file by file. As in any JSON object, a repeated id keeps its last answer;
+    the repeats are merged before the shuffle.
     """
     pieces = spark.read.option("lineSep", ",").text(path)
     located = pieces.select(
@@ -123,7 +127,18 @@ def load_labels(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("piece"),
     )
-    pairs = located.select(
+    whole = F.col("value").rlike(_WHOLE)
+    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), '[^"]', ""))
+    ordered = Window.partitionBy("file").orderBy("block", "piece")
+    before = F.coalesce(F.sum(quotes).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    loose = located.where(~whole).withColumn("outside", (before % 2 == 0).cast("long"))
+    loose = loose.withColumn("run", F.sum("outside").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = loose.groupBy("file", "run").agg(F.sort_array(F.collect_list(F.struct("block", "piece", "value"))).alias("run_pieces"))
+    mended = runs.select(
+        F.array_join("run_pieces.value", ",").alias("value"), "file",
+        F.col("run_pieces")[0]["block"].alias("block"), F.col("run_pieces")[0]["piece"].alias("piece"),
+    )
+    pairs = located.where(whole).unionByName(mended).select(
         "file", "block", "piece",
         F.posexplode(F.regexp_extract_all("value", F.lit(f"({_PAIR})"), 1)).alias("nth", "pair"),
     )
