@@ -19,15 +19,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder of the shared one that nothing else uses."""
+    return f"{staging_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back, so later passes and lost executors
     start from the table and not from what led to it."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Write ``df`` in the order of (groups, order), nulls first, and add ``__at``, the row's place in that
+    order from 0, ``__first``, the place of the first row of its group, and ``__size``, the group's rows.
+
+    Rows are dealt by ranges of the whole order, so a group that holds most rows spans many tasks. Rows equal
+    in all of it stay together and may trade places.
+    """
+    keys = [*groups, *order]
+    spread = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = stage(spread.withColumn("__row", F.monotonically_increasing_id()), name)
+    part = F.shiftright("__row", 33)
+    parts = placed.groupBy(part.alias("__part"), *groups).agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__low"))
+    # one row per part, so a single task may add them up
+    starts = parts.groupBy("__part").agg(F.sum("__n").alias("__rows"))
+    before = F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = starts.select(F.col("__part").alias("__p"), F.coalesce(before, F.lit(0)).alias("__before"))
+    held = parts.join(starts, F.col("__part") == F.col("__p")).withColumn("__low", F.col("__before") + F.col("__low").bitwiseAND((1 << 33) - 1))
+    group = Window.partitionBy(*[F.col(g) for g in groups] or [F.lit(0)])
+    held = held.select(
+        F.col("__part").alias("__p"), *[F.col(g).alias(f"__g_{i}") for i, g in enumerate(groups)], "__before",
+        F.min("__low").over(group).alias("__first"), F.sum("__n").over(group).alias("__size"),
+    )
+    match = part == F.col("__p")
+    for i, g in enumerate(groups):
+        match = match & F.col(g).eqNullSafe(F.col(f"__g_{i}"))
+    at = (F.col("__before") + F.col("__row").bitwiseAND((1 << 33) - 1)).alias("__at")
+    return placed.join(held, match).select(*df.columns, at, "__first", "__size")
+
+
 def hex_digits(rows: int, rows_per_bin: int = 50_000) -> int:
     """Hex digits of a hash that cut ``rows`` into bins of about ``rows_per_bin``."""
     digits = 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwarden.llm import cross_entropy, exact_dedup, jaccard_join, maxscore, mixing, packing, quotations, secrets, sharding, toxicity
+from cardwarden.llm import cross_entropy, exact_dedup, jaccard_join, maxscore, merkle, mixing, packing, quotations, secrets, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fair_queue_mix": mixing.op8_fair_queue_mix,
         "op9_cross_entropy_difference": cross_entropy.op9_cross_entropy_difference,
         "op10_decoding_secret_scan": secrets.op10_decoding_secret_scan,
+        "op11_merkle_climb": merkle.op11_merkle_climb,
     }
 
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_maxscore_top_k": maxscore.ORACLE_SQL,
         "op8_fair_queue_mix": mixing.ORACLE_SQL,
         "op9_cross_entropy_difference": cross_entropy.ORACLE_SQL,
+        "op11_merkle_climb": merkle.ORACLE_SQL,
     }
