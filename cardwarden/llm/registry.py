@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwarden.llm import cross_entropy, exact_dedup, jaccard_join, maxscore, merkle, mixing, packing, quotations, secrets, sharding, toxicity
+from cardwarden.llm import cross_entropy, exact_dedup, jaccard_join, maxscore, merkle, mixing, packing, prefix_trie, quotations, secrets, sharding, token_files, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_cross_entropy_difference": cross_entropy.op9_cross_entropy_difference,
         "op10_decoding_secret_scan": secrets.op10_decoding_secret_scan,
         "op11_merkle_climb": merkle.op11_merkle_climb,
+        "op12_conversation_trie": prefix_trie.op12_conversation_trie,
+        "op13_perfect_hash_tokens": token_files.op13_perfect_hash_tokens,
     }
 
 
@@ -32,4 +34,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_fair_queue_mix": mixing.ORACLE_SQL,
         "op9_cross_entropy_difference": cross_entropy.ORACLE_SQL,
         "op11_merkle_climb": merkle.ORACLE_SQL,
+        "op12_conversation_trie": prefix_trie.ORACLE_SQL,
     }
