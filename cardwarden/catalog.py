@@ -148,6 +148,12 @@ def scan_transactions(site: Site) -> DataFrame:
     return files.scan_transactions(site.spark, site.export("transactions", raw, "csv"))
 
 
+def scan_quoted_records(site: Site) -> DataFrame:
+    """Texts with line breaks, quotes and delimiters, exported as quoted cells and scanned again."""
+    raw = site.spark.read.parquet(f"{site.sf_dir}/documents.parquet")
+    return files.read_delimited(site.spark, site.export("documents", raw, "csv"), ";")
+
+
 def load_users(site: Site) -> DataFrame:
     raw = users_from(site.spark.read.parquet(f"{site.sf_dir}/customer.parquet"))
     return files.load_users(site.spark, site.export("users", raw, "csv"))
@@ -166,13 +172,15 @@ def load_mcc(site: Site) -> DataFrame:
 
 
 def load_labels(site: Site) -> DataFrame:
-    """Labels as JSON objects of some thousand pairs each, nested under ``target``."""
+    """Labels as JSON objects of some thousand pairs each, nested under ``target``; the same ids stand beside it with
+    an answer that must not count."""
     labels = site.inputs().labels
     answer = F.when(F.col("is_fraud"), "Yes").otherwise("No")
     pairs = F.map_from_entries(F.collect_list(F.struct("transaction_id", answer)))
     chunk = F.floor(F.col("transaction_id").cast("bigint") / 4000)
-    objects = labels.groupBy(chunk.alias("chunk")).agg(pairs.alias("target"))
-    text = objects.select(F.to_json(F.struct("target")).alias("value"))
+    beside = F.map_from_entries(F.collect_list(F.struct("transaction_id", F.lit("Yes"))))
+    objects = labels.groupBy(chunk.alias("chunk")).agg(pairs.alias("target"), beside.alias("reviewed"))
+    text = objects.select(F.to_json(F.struct("target", "reviewed")).alias("value"))
     return files.load_labels(site.spark, site.export("labels", text, "text"))
 
 
@@ -499,7 +507,7 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
     found: dict[str, Callable[[Site], DataFrame]] = {
         f.__name__: f
         for f in (
-            scan_transactions, load_users, load_cards, load_mcc, load_labels, stage_roundtrip,
+            scan_transactions, scan_quoted_records, load_users, load_cards, load_mcc, load_labels, stage_roundtrip,
             join_labels, join_cards, join_users, join_mcc, join_centroids, enrich_transactions,
             clean_dates, clean_money, clean_flags, clean_transactions, rejected_rows,
             haversine_distance, derive_features, fraud_signals, fraud_score, suspicion_reasons,
