@@ -1,10 +1,11 @@
 """Exact quantiles per group that no single task has to hold.
 
-The built-in percentile keeps every distinct value of a group in one task's memory. Here the rows are
-first merged into (group, value, count), which the map side pre-aggregates, and the wanted rank is
-found in two steps: a running count over coarse buckets of values picks the bucket, then a running
-count inside that bucket picks the value. With amounts in cents and buckets ten units wide, a bucket
-holds a thousand distinct values at most, however many rows the group has.
+The built-in percentile keeps every distinct value of a group in one task's memory. Here the rows are first
+merged into (group, value, count), which the map side pre-aggregates, and the wanted rank is found by radix
+selection: a value is read as digits, from its sign, exponent and first bits down to its last ones. A level
+counts the next digit among the rows that share the digits found so far, and keeps one digit per rank; the
+last one takes the value. Each level is a plain aggregate, and a group's list has at most ``2 ** BITS`` counts
+below the first level, whatever the number and the spread of its values.
 """
 
 from __future__ import annotations
@@ -12,69 +13,90 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+BITS = 16
+_FIRST = 4
 
-def _values_at_ranks(
-    df: DataFrame, keys: Sequence[str], value: str, ranks: Column, width: float
-) -> DataFrame:
+
+def _digits(value: Column) -> list[Column]:
+    """Whole numbers that order values as the values themselves do; the first holds sign, exponent and the first
+    mantissa bits. Scaling by powers of two and taking off whole parts is exact."""
+    size, sign = F.abs(value), F.signum(value)
+    finite = (size > 0) & (size < float("inf"))
+    exponent = F.floor(F.log2(F.when(finite, size)))
+    rest = F.when(finite, size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**_FIRST
+    step = F.floor(rest)
+    first = sign * ((exponent + 1100) * 2**_FIRST + step)
+    far = F.when(F.isnan(value), 1e6).when(size == float("inf"), sign * 5e5).otherwise(0.0)
+    digits = [F.coalesce(first, far)]
+    for _ in range(2):
+        rest = (rest - step) * 2.0**BITS
+        step = F.floor(rest)
+        digits.append(F.coalesce(sign * step, F.lit(0.0)))
+    return [d.cast("long") for d in digits]
+
+
+def _picked(counts: Column, rank: Column) -> Column:
+    """Of an array of (item, n) in order, the item that holds the 1-based rank, and the rows below it."""
+    item = F.struct(counts[0]["item"].alias("item"), F.lit(0).cast("long").alias("below"), F.lit(0).cast("long").alias("upto"))
+    return F.aggregate(
+        counts, item,
+        lambda s, x: F.when(s["upto"] >= rank, s).otherwise(F.struct(x["item"].alias("item"), s["upto"].alias("below"), (s["upto"] + x["n"]).alias("upto"))),
+    )
+
+
+def _values_at_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: Column) -> DataFrame:
     """One row per (keys, slot): the value at each 1-based rank of the array ``ranks``, an
     expression over the group's row count ``total``."""
-    counted = (
+    digits = dict(zip(["digit_0", "digit_1", "digit_2"], _digits(F.col("value").cast("double"))))
+    # The digits are never null, but stated here all levels share one shuffle of these counts: otherwise the
+    # joins below would add it to some of them only.
+    rows = (
         df.where(F.col(value).isNotNull())
-        .select(*keys, F.col(value).alias("value"), F.floor(F.col(value) / width).alias("bucket"))
-        # Always true, but stated here both uses of these counts share one shuffle: otherwise the join
-        # below would add it to one of them only.
-        .where("bucket is not null")
-        .groupBy(*keys, "bucket", "value")
+        .select(*keys, F.col(value).alias("value"))
+        .withColumns(digits)
+        .where(" and ".join(f"{d} is not null" for d in digits))
+        .groupBy(*keys, "value", *digits)
         .agg(F.count("*").alias("n"))
     )
-    group = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    upto_here = (W.unboundedPreceding, W.currentRow)
-    buckets = (
-        counted.groupBy(*keys, "bucket")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(group.orderBy("bucket").rowsBetween(*upto_here)))
-        .withColumn("total", F.sum("n").over(group))
-        .withColumn("below", F.col("upto") - F.col("n"))
-        .select("*", F.posexplode(ranks).alias("slot", "rank"))
-        .where("rank > below and rank <= upto")
-    )
-    chosen = buckets.select(
-        *[F.col(k).alias(f"{k}_chosen") for k in keys],
-        F.col("bucket").alias("bucket_chosen"),
-        "slot",
-        "total",
-        (F.col("rank") - F.col("below")).alias("rank"),
-    )
-    match = F.col("bucket") == F.col("bucket_chosen")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"{k}_chosen"))
-    inside = counted.join(chosen, match, "inner")
-    slot = W.partitionBy(*keys, "slot").orderBy("value").rowsBetween(*upto_here)
-    return (
-        inside.withColumn("upto", F.sum("n").over(slot))
-        .where("rank > upto - n and rank <= upto")
-        .select(*keys, "slot", "value", "total")
-    )
+    listed = lambda item: F.array_sort(F.collect_list(F.struct(F.col(item).alias("item"), "n")))
+    first = rows.groupBy(*keys, "digit_0").agg(F.sum("n").alias("n")).groupBy(*keys).agg(listed("digit_0").alias("counts"), F.sum("n").alias("total"))
+    state = first.select(*keys, "counts", "total", F.posexplode(ranks).alias("slot", "rank"))
+    fixed = ["slot", "total"]
+    for level in range(3):
+        picked = state.withColumn("picked", _picked(F.col("counts"), F.col("rank")))
+        state = picked.select(
+            *[F.col(k).alias(f"{k}_chosen") for k in keys], *fixed, *[f"chosen_{i}" for i in range(level)],
+            F.col("picked.item").alias(f"chosen_{level}"), (F.col("rank") - F.col("picked.below")).alias("rank"),
+        )
+        match = F.lit(True)
+        for k in keys:
+            match = match & F.col(k).eqNullSafe(F.col(f"{k}_chosen"))
+        for i in range(level + 1):
+            match = match & (F.col(f"digit_{i}") == F.col(f"chosen_{i}"))
+        item = f"digit_{level + 1}" if level < 2 else "value"
+        inside = rows.join(state, match)
+        group = [*keys, *fixed, "rank", *[f"chosen_{i}" for i in range(level + 1)]]
+        state = inside.groupBy(*group, item).agg(F.sum("n").alias("n")).groupBy(*group).agg(listed(item).alias("counts"))
+    return state.select(*keys, "slot", _picked(F.col("counts"), F.col("rank"))["item"].alias("value"), "total")
 
 
 def quantile_disc(
-    df: DataFrame, keys: Sequence[str], value: str, q: float, alias: str, width: float = 10.0
+    df: DataFrame, keys: Sequence[str], value: str, q: float, alias: str
 ) -> DataFrame:
     """Smallest value with at least the share ``q`` of the group's rows at or below it."""
     rank = F.greatest(F.ceil(F.col("total") * F.lit(float(q))), F.lit(1))
-    found = _values_at_ranks(df, keys, value, F.array(rank), width)
+    found = _values_at_ranks(df, keys, value, F.array(rank))
     return found.select(*keys, F.col("value").alias(alias))
 
 
 def quantile_cont(
-    df: DataFrame, keys: Sequence[str], value: str, q: float, alias: str, width: float = 10.0
+    df: DataFrame, keys: Sequence[str], value: str, q: float, alias: str
 ) -> DataFrame:
     """Linear interpolation between the two values around the share ``q``."""
     place = (F.col("total") - 1) * F.lit(float(q))
-    found = _values_at_ranks(df, keys, value, F.array(F.floor(place) + 1, F.ceil(place) + 1), width)
+    found = _values_at_ranks(df, keys, value, F.array(F.floor(place) + 1, F.ceil(place) + 1))
     ends = found.groupBy(*keys).agg(
         F.max(F.when(F.col("slot") == 0, F.col("value"))).alias("low"),
         F.max(F.when(F.col("slot") == 1, F.col("value"))).alias("high"),

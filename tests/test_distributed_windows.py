@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardwarden.operators.neighbours import with_neighbour
 from cardwarden.operators.quantiles import quantile_cont, quantile_disc
@@ -31,6 +32,33 @@ def test_quantiles(spark, n):
             assert cont[k] == pytest.approx(low + (high - low) * (place - math.floor(place)))
 
 
+def test_quantiles_of_any_doubles(spark):
+    rng = random.Random(1)
+    values = [rng.choice([-1, 1]) * math.exp(rng.uniform(-700, 700)) for _ in range(900)]
+    values += [0.0, -0.0, 5e-324, -5e-324, 2.0**-1030, math.inf, -math.inf, 1.7e308] + [2.0**k for k in range(-40, 40)]
+    close = [1e6 + i * 2.0**-33 for i in range(3000)]  # many values that share all but their last bits
+    near = [math.nextafter(2.0**k, 0) for k in range(-30, 60)] + [2.0**k for k in range(-30, 60)]
+    rows = [("wide", v) for v in values] + [("close", v) for v in close] + [("near", v) for v in near]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    groups = {"wide": values, "close": close, "near": near}
+    for q in (0.0, 0.013, 0.5, 0.77, 0.99, 1.0):
+        found = {r.k: r.x for r in quantile_disc(df, ["k"], "v", q, "x").collect()}
+        assert found == {k: sorted(v)[max(math.ceil(len(v) * q), 1) - 1] for k, v in groups.items()}
+    whole = sorted(close + near)
+    numbers = df.where("k <> 'wide'")
+    assert quantile_disc(numbers, [], "v", 0.9, "x").first().x == whole[math.ceil(len(whole) * 0.9) - 1]
+    assert quantile_disc(numbers.where("v < -1"), [], "v", 0.9, "x").collect() == []
+
+
+def test_quantiles_without_keys_keep_one_list_not_all_values_in_a_task(spark):
+    df = spark.range(200_000).select((F.col("id") * 0.37).alias("v"))
+    found = quantile_disc(df, [], "v", 0.5, "x")
+    assert found.first().x == 99_999 * 0.37
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Sort [" not in text
+
+
 def purchases(seed=3, n=260):
     """Two thirds belong to one user, with equal times, gaps of days and returns to merchants."""
     rng = random.Random(seed)
