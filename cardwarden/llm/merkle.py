@@ -21,6 +21,7 @@ from cardwarden.llm.common import new_path, numbered, stage, table
 
 FAN = 3
 BLOCK = 4096
+ROWS_PER_FILE = 20_000
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _TOP = 64  # levels of the tree over the sources are numbered from here
 
@@ -72,12 +73,13 @@ def _level(below: DataFrame, level: int, base: int, top: bool) -> DataFrame:
 
 
 def _grow(leaves: DataFrame, base: int, top: bool, name: str) -> list[DataFrame]:
-    """All levels above ``leaves`` (tree, i, n, first, last, hash), each from the written level below."""
-    most = leaves.agg(F.max("n")).first()[0] or 0
+    """All levels above ``leaves`` (tree, i, n, first, last, hash), each from the written level below. High levels have
+    few rows and are written in few files."""
+    most, rows, trees = leaves.agg(F.max("n"), F.count(F.lit(1)), F.count(F.when(F.col("i") == 0, 1))).first()
     levels, below, level = [], leaves, base
-    while most > 1:
-        level, most = level + 1, -(-most // FAN)
-        below = stage(_level(below, level, base, top), f"{name}-{level}")
+    while (most or 0) > 1:
+        level, most, rows = level + 1, -(-most // FAN), rows // FAN + trees
+        below = stage(_level(below, level, base, top).coalesce(-(-rows // ROWS_PER_FILE)), f"{name}-{level}")
         levels.append(below)
     return levels
 
@@ -140,16 +142,19 @@ def _twin(spark: SparkSession, **settings: str) -> SparkSession:
     return twin
 
 
+# A step is height * 4 + place among the siblings, siblings are their hashes one after another: the rows of all steps
+# are shuffled, so they are kept short.
 _CLIMB = """
-WITH RECURSIVE climb(at, doc_id, height, block, up, place, folded, own, siblings) AS (
-  SELECT at, doc_id, 0, at DIV {block}, up, place, altered, hash, CAST(array() AS array<binary>) FROM {leaves}
+WITH RECURSIVE climb(at, step, up, folded, own, siblings) AS (
+  SELECT at, CAST(coalesce(place, 0) AS bigint), up, altered, hash, CAST(NULL AS binary) FROM {leaves}
   UNION ALL
-  SELECT c.at, c.doc_id, c.height + 1, c.block, s.up, s.place,
-         unhex(sha2(array_join(transform(s.children, (x, i) -> lower(hex(if(i = c.place, c.folded, x)))), ''), 256)),
-         if(s.subroot, s.hash, NULL), filter(s.children, (x, i) -> i <> c.place)
-  FROM climb c JOIN {steps} s ON c.up = s.node AND c.block = s.block
+  SELECT c.at, (c.step DIV 4 + 1) * 4 + coalesce(s.place, 0), s.up,
+         unhex(sha2(array_join(transform(s.children, (x, i) -> lower(hex(if(i = c.step % 4, c.folded, x)))), ''), 256)),
+         s.hash, aggregate(s.children, named_struct('i', 0, 'all', CAST('' AS binary)),
+           (sum, x) -> named_struct('i', sum.i + 1, 'all', if(sum.i = c.step % 4, sum.all, concat(sum.all, x))), sum -> sum.all)
+  FROM climb c JOIN {steps} s ON c.up = s.node AND c.at DIV {block} = s.block
 )
-SELECT at, height, doc_id, folded, own, siblings FROM climb
+SELECT at, step DIV 4 AS height, if(up IS NULL, folded, NULL) AS folded, own, siblings FROM climb
 """
 
 
@@ -161,22 +166,26 @@ def climb(manifest: Manifest, name: str = "merkle") -> DataFrame:
     """
     spark = manifest.leaves.sparkSession
     covered = F.sequence((F.col("first") / BLOCK).cast("long"), (F.col("last") / BLOCK).cast("long"))
-    steps = manifest.nodes.select("node", "up", "place", "children", F.when(F.col("subroot"), F.col("hash")).alias("hash"), "subroot", F.explode(covered).alias("block"))
+    steps = manifest.nodes.select("node", "up", "place", "children", F.when(F.col("subroot"), F.col("hash")).alias("hash"), F.explode(covered).alias("block"))
     paths = {n: new_path(spark, f"{name}-{n}") for n in ("starts", "steps", "climb")}
     manifest.leaves.write.parquet(paths["starts"])
     steps.write.parquet(paths["steps"])
     # the limits guard against endless recursion; here the number of levels is known
     twin = _twin(spark, **{"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": str(manifest.levels + 2)})
     views = {"leaves": f"leaves_{uuid.uuid4().hex}", "steps": f"steps_{uuid.uuid4().hex}"}
-    twin.read.parquet(paths["starts"]).createOrReplaceTempView(views["leaves"])
+    starts = twin.read.parquet(paths["starts"])
+    starts.createOrReplaceTempView(views["leaves"])
     twin.read.parquet(paths["steps"]).createOrReplaceTempView(views["steps"])
     met = twin.sql(_CLIMB.format(block=BLOCK, **views))
-    proof = F.transform(F.array_sort(F.collect_list(F.struct("height", "siblings"))), lambda x: _joined(x["siblings"]))
-    folded = met.groupBy("at").agg(
+    # a leaf's id, kept out of the climb, comes in beside its rows; dealing first spares a list for each row
+    ids = starts.select("at", F.lit(-1).alias("height"), "doc_id", *[F.lit(None).cast("binary").alias(c) for c in ("folded", "own", "siblings")])
+    rows = met.withColumn("doc_id", F.lit(None).cast("long")).unionByName(ids).repartition("at")
+    proof = F.transform(F.array_sort(F.collect_list(F.struct("height", "siblings"))), lambda x: F.lower(F.hex(F.coalesce(x["siblings"], F.lit(b"")))))
+    folded = rows.groupBy("at").agg(
         F.max("doc_id").alias("doc_id"),
-        F.min_by("own", "height").alias("leaf"),
+        F.max(F.when(F.col("height") == 0, F.col("own"))).alias("leaf"),
         F.max(F.when(F.col("height") > 0, F.col("own"))).alias("subroot"),
-        F.max_by("folded", "height").alias("folded"),
+        F.max("folded").alias("folded"),
         F.sha2(F.array_join(proof, ""), 256).alias("proof_sha256"),
     )
     hexed = lambda c: F.lower(F.hex(c))
