@@ -16,11 +16,14 @@ HOUR, DAY, MONTH = MICROS_PER_DAY // 24, MICROS_PER_DAY, 30 * MICROS_PER_DAY
 AIRLINER_KMH = 900.0
 
 
-def velocity_windows(df: DataFrame, time: str, length: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    """Transactions per user in sliding windows. Works on a batch or, with a watermark, a stream."""
+def velocity_windows(
+    df: DataFrame, time: str, length: str = "5 minutes", slide: str = "1 minute", counted: Column | None = None
+) -> DataFrame:
+    """Transactions per user in sliding windows. Works on a batch or, with a watermark, a stream. Rows that are not
+    ``counted`` only move the watermark."""
     return (
         df.groupBy(F.window(time, length, slide).alias("w"), "user_id")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*" if counted is None else F.when(counted, 1)).alias("n"))
         .select(
             "user_id",
             F.col("w.start").cast("timestamp_ntz").alias("window_start"),

@@ -32,13 +32,16 @@ FACT_ORDER = ("user_id", "transaction_date")
 
 
 def read_inputs(
-    spark: SparkSession, transactions: str, users: str, cards: str, labels: str, mcc: str
+    spark: SparkSession, transactions: str, users: str, cards: str, labels: str, mcc: str,
+    delimiters: dict[str, str] | None = None,
 ) -> Inputs:
-    """The five files, checked for their columns; nothing but headers is read yet."""
+    """The five files, checked for their columns. ``delimiters`` names those of transactions, users or cards that are
+    known; the others are found from a file's first lines."""
+    known = delimiters or {}
     return Inputs(
-        transactions=files.scan_transactions(spark, transactions),
-        users=files.load_users(spark, users),
-        cards=files.load_cards(spark, cards),
+        transactions=files.scan_transactions(spark, transactions, known.get("transactions")),
+        users=files.load_users(spark, users, known.get("users")),
+        cards=files.load_cards(spark, cards, known.get("cards")),
         mcc=files.load_mcc(spark, mcc),
         labels=files.load_labels(spark, labels),
     )

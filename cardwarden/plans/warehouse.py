@@ -13,15 +13,21 @@ from cardwarden import schemas
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the declared columns, in order and type; absent ones are null, values that do not fit
-    their type become null."""
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    """Exactly the declared columns, in order and type; absent ones are null. A value that does not fit its type is an
+    error that names the column and the value, as a database would raise it; it is never stored as null."""
+    held = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[_fitted(f, held.get(f.name)).alias(f.name) for f in schema.fields])
+
+
+def _fitted(field: T.StructField, held: T.DataType | None) -> Column:
+    if held is None:
+        return F.lit(None).cast(field.dataType)
+    given = F.col(field.name)
+    if held == field.dataType:
+        return given
+    fitted = given.try_cast(field.dataType)
+    told = F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "), given.cast("string"))
+    return F.when(given.isNotNull() & fitted.isNull(), F.raise_error(told).cast(field.dataType)).otherwise(fitted)
 
 
 def conform_facts(facts: DataFrame) -> DataFrame:

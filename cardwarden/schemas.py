@@ -24,81 +24,132 @@ CARD_COLUMNS = (
     "card_id", "card_brand", "card_type", "has_chip", "credit_limit", "card_on_dark_web", "client_id",
 )
 
-
-_SIMPLE_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "boolean": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp_ntz": T.TimestampNTZType(),
-    "decimal(8,4)": T.DecimalType(8, 4),
-    "decimal(10,2)": T.DecimalType(10, 2),
-    "decimal(12,2)": T.DecimalType(12, 2),
-    "decimal(16,2)": T.DecimalType(16, 2),
-    "decimal(18,2)": T.DecimalType(18, 2),
-}
-
-
-def _struct(text: str) -> T.StructType:
-    """``"name type, ..."`` to a schema; usable before a session exists."""
-    pairs = (item.split() for item in text.replace(",2)", ";2)").replace(",4)", ";4)").split(","))
-    return T.StructType(
-        [T.StructField(name, _SIMPLE_TYPES[kind.replace(";", ",")]) for name, kind in pairs]
-    )
-
-
+# Column names, their order and types are the contract with whoever reads the tables.
 # The fact table, in load order.
-FACT = _struct(
-    """
-    transaction_id string, card_id string, user_id string, transaction_date timestamp_ntz,
-    amount decimal(12,2), merchant_id string, merchant_city string, merchant_state string,
-    mcc string, mcc_description string, transaction_type string, errors string,
-    user_age int, user_gender string, user_state string, yearly_income decimal(12,2),
-    total_debt decimal(12,2), credit_score int, card_brand string, card_type string,
-    has_chip boolean, card_on_dark_web boolean, credit_limit decimal(12,2),
-    debt_income_ratio decimal(8,4), distance_km decimal(10,2), is_fraud boolean,
-    is_suspicious boolean, suspicion_reasons string, fraud_score int, card_txn_count bigint
-    """
+FACT = T.StructType(
+    [
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("card_id", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("transaction_date", T.TimestampNTZType()),
+        T.StructField("amount", T.DecimalType(12, 2)),
+        T.StructField("merchant_id", T.StringType()),
+        T.StructField("merchant_city", T.StringType()),
+        T.StructField("merchant_state", T.StringType()),
+        T.StructField("mcc", T.StringType()),
+        T.StructField("mcc_description", T.StringType()),
+        T.StructField("transaction_type", T.StringType()),
+        T.StructField("errors", T.StringType()),
+        T.StructField("user_age", T.IntegerType()),
+        T.StructField("user_gender", T.StringType()),
+        T.StructField("user_state", T.StringType()),
+        T.StructField("yearly_income", T.DecimalType(12, 2)),
+        T.StructField("total_debt", T.DecimalType(12, 2)),
+        T.StructField("credit_score", T.IntegerType()),
+        T.StructField("card_brand", T.StringType()),
+        T.StructField("card_type", T.StringType()),
+        T.StructField("has_chip", T.BooleanType()),
+        T.StructField("card_on_dark_web", T.BooleanType()),
+        T.StructField("credit_limit", T.DecimalType(12, 2)),
+        T.StructField("debt_income_ratio", T.DecimalType(8, 4)),
+        T.StructField("distance_km", T.DecimalType(10, 2)),
+        T.StructField("is_fraud", T.BooleanType()),
+        T.StructField("is_suspicious", T.BooleanType()),
+        T.StructField("suspicion_reasons", T.StringType()),
+        T.StructField("fraud_score", T.IntegerType()),
+        T.StructField("card_txn_count", T.LongType()),
+    ]
 )
 
 # What is stored: the channel flag tells a card-present row from one of unknown channel, which the
 # by-state metrics need.
 STORED_FACT = T.StructType([*FACT.fields, T.StructField("is_online", T.BooleanType())])
 
-_SEGMENT_MEASURES = """
-    total_transactions bigint, total_fraud bigint, fraud_rate decimal(8,4),
-    amount_at_risk decimal(16,2), total_suspicious bigint, amount_suspicious decimal(18,2)
-"""
+_SEGMENT_MEASURES = [
+    T.StructField("total_transactions", T.LongType()),
+    T.StructField("total_fraud", T.LongType()),
+    T.StructField("fraud_rate", T.DecimalType(8, 4)),
+    T.StructField("amount_at_risk", T.DecimalType(16, 2)),
+    T.StructField("total_suspicious", T.LongType()),
+    T.StructField("amount_suspicious", T.DecimalType(18, 2)),
+]
 
 # Counts are bigint: a table of 100 TB passes the range of a 32-bit integer.
-METRICS_GLOBAL = _struct(
-    """
-    total_transactions bigint, total_fraud bigint, fraud_rate decimal(8,4),
-    total_amount_at_risk decimal(16,2), avg_fraud_amount decimal(12,2),
-    false_positive_rate decimal(8,4), false_negative_rate decimal(8,4),
-    true_positives bigint, true_negatives bigint, false_positives bigint, false_negatives bigint,
-    dataset_start_date date, dataset_end_date date
-    """
+METRICS_GLOBAL = T.StructType(
+    [
+        T.StructField("total_transactions", T.LongType()),
+        T.StructField("total_fraud", T.LongType()),
+        T.StructField("fraud_rate", T.DecimalType(8, 4)),
+        T.StructField("total_amount_at_risk", T.DecimalType(16, 2)),
+        T.StructField("avg_fraud_amount", T.DecimalType(12, 2)),
+        T.StructField("false_positive_rate", T.DecimalType(8, 4)),
+        T.StructField("false_negative_rate", T.DecimalType(8, 4)),
+        T.StructField("true_positives", T.LongType()),
+        T.StructField("true_negatives", T.LongType()),
+        T.StructField("false_positives", T.LongType()),
+        T.StructField("false_negatives", T.LongType()),
+        T.StructField("dataset_start_date", T.DateType()),
+        T.StructField("dataset_end_date", T.DateType()),
+    ]
+)
+BY_MCC = T.StructType(
+    [
+        T.StructField("mcc", T.StringType()),
+        T.StructField("mcc_description", T.StringType()),
+        *_SEGMENT_MEASURES,
+    ]
+)
+BY_CARD_TYPE = T.StructType(
+    [
+        T.StructField("card_brand", T.StringType()),
+        T.StructField("card_type", T.StringType()),
+        T.StructField("has_chip", T.BooleanType()),
+        *_SEGMENT_MEASURES,
+    ]
+)
+BY_STATE = T.StructType(
+    [
+        T.StructField("state", T.StringType()),
+        *_SEGMENT_MEASURES,
+    ]
 )
-BY_MCC = _struct("mcc string, mcc_description string," + _SEGMENT_MEASURES)
-BY_CARD_TYPE = _struct("card_brand string, card_type string, has_chip boolean," + _SEGMENT_MEASURES)
-BY_STATE = _struct("state string," + _SEGMENT_MEASURES)
-BY_MERCHANT = _struct(
-    "merchant_id string, merchant_city string, merchant_state string, mcc_description string,"
-    + _SEGMENT_MEASURES
+BY_MERCHANT = T.StructType(
+    [
+        T.StructField("merchant_id", T.StringType()),
+        T.StructField("merchant_city", T.StringType()),
+        T.StructField("merchant_state", T.StringType()),
+        T.StructField("mcc_description", T.StringType()),
+        *_SEGMENT_MEASURES,
+    ]
 )
-USER_PROFILES = _struct(
-    """
-    user_id string, age int, gender string, state string, yearly_income decimal(12,2),
-    total_debt decimal(12,2), debt_income_ratio decimal(8,4), credit_score int, num_cards bigint,
-    total_transactions bigint, total_fraud bigint, fraud_rate decimal(8,4),
-    total_spent decimal(16,2), avg_transaction decimal(12,2), amount_at_risk decimal(16,2)
-    """
+USER_PROFILES = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("age", T.IntegerType()),
+        T.StructField("gender", T.StringType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("yearly_income", T.DecimalType(12, 2)),
+        T.StructField("total_debt", T.DecimalType(12, 2)),
+        T.StructField("debt_income_ratio", T.DecimalType(8, 4)),
+        T.StructField("credit_score", T.IntegerType()),
+        T.StructField("num_cards", T.LongType()),
+        T.StructField("total_transactions", T.LongType()),
+        T.StructField("total_fraud", T.LongType()),
+        T.StructField("fraud_rate", T.DecimalType(8, 4)),
+        T.StructField("total_spent", T.DecimalType(16, 2)),
+        T.StructField("avg_transaction", T.DecimalType(12, 2)),
+        T.StructField("amount_at_risk", T.DecimalType(16, 2)),
+    ]
 )
-RUN_LOG = _struct(
-    "run_at timestamp_ntz, status string, rows_processed bigint, rows_fraud bigint, "
-    "duration_secs decimal(10,2), notes string"
+RUN_LOG = T.StructType(
+    [
+        T.StructField("run_at", T.TimestampNTZType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("rows_processed", T.LongType()),
+        T.StructField("rows_fraud", T.LongType()),
+        T.StructField("duration_secs", T.DecimalType(10, 2)),
+        T.StructField("notes", T.StringType()),
+    ]
 )
 
 WAREHOUSE = {

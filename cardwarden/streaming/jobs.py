@@ -43,9 +43,46 @@ def _watermarked(df: DataFrame, time: str, lateness: str) -> DataFrame:
     return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
 
 
-def velocity_stream(transactions: DataFrame, time: str, lateness: str = "10 minutes") -> DataFrame:
-    """Sliding five-minute counts per user; rows later than the watermark are dropped."""
-    return velocity_windows(_watermarked(transactions, time, lateness), time)
+CLOSING = "__closing__"
+
+
+def velocity_stream(
+    transactions: DataFrame, time: str, lateness: str = "10 minutes", closing: DataFrame | None = None
+) -> DataFrame:
+    """Sliding five-minute counts per user; rows later than the watermark are dropped (``late_rows`` counts them).
+
+    A window is given out when the watermark has passed its end. So that a source that has ended keeps none
+    back, ``closing`` is a stream of closing events (``write_closing``), which move the watermark and are not counted.
+    """
+    events = transactions.select("user_id", time)
+    if closing is not None:
+        events = events.unionByName(closing.select("user_id", time))
+    real = F.col("user_id").isNull() | (F.col("user_id") != CLOSING)
+    # A filter on the user would be moved below the watermark and take the closing events away.
+    return velocity_windows(_watermarked(events, time, lateness), time, counted=real).where("n > 0")
+
+
+def closing_stream(spark: SparkSession, path: str, time: str) -> DataFrame:
+    """Closing events written to ``path``, which need not hold any yet."""
+    schema = f"user_id string, `{time}` timestamp_ntz"
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def write_closing(
+    events: DataFrame, path: str, time: str, lateness: str = "10 minutes", length: str = "5 minutes"
+) -> None:
+    """A closing event far enough after the newest event that all windows of length ``length`` end before the watermark."""
+    after = F.max(F.col(time).cast("timestamp_ntz")) + F.expr(f"interval {lateness}") + F.expr(f"interval {length}")
+    newest = events.agg((after + F.expr("interval 1 second")).alias(time)).where(F.col(time).isNotNull())
+    newest.select(F.lit(CLOSING).alias("user_id"), time).write.mode("append").parquet(path)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's last batches dropped behind the watermark, after merging on the map side."""
+    return sum(
+        int(operator["numRowsDroppedByWatermark"]) for progress in query.recentProgress for operator in progress["stateOperators"]
+    )
 
 
 def dedupe_stream(transactions: DataFrame, key: str, time: str, lateness: str = "1 hour") -> DataFrame:

@@ -141,3 +141,10 @@ def test_facts_are_clustered_by_user(spark, site, tmp_path):
         .groupBy("f").agg({"u": "min", "*": "count"}).select("min(u)").collect()
     )
     assert len(ranges) == 4 and len(set(ranges)) == 4
+
+
+def test_a_sample_of_everything_is_the_exact_histogram(site):
+    from cardwarden.plans.overview import amount_histogram
+
+    whole = {tuple(r) for r in amount_histogram(site.facts()).collect()}
+    assert {tuple(r) for r in amount_histogram(site.facts(), fraction=1.0).collect()} == whole

@@ -36,6 +36,23 @@ def test_late_rows_are_dropped(spark, dirs):
     assert max(counts) <= T0 + dt.timedelta(minutes=105)
 
 
+def test_a_closing_event_brings_out_the_last_windows(spark, dirs, tmp_path):
+    source, out, checkpoint = dirs
+    rows = [at(0, "a"), at(1, "b"), at(30, "c", user="v"), at(31, "d")]
+    stream = feed(spark, source, rows, [at(200, "e")], [at(201, "f")], [at(90, "late")])
+    closing = str(tmp_path / "closing")
+    counted = jobs.velocity_stream(stream, "t", closing=jobs.closing_stream(spark, closing, "t"))
+    query = jobs.append_to_table(counted, out, checkpoint)
+    query.awaitTermination()
+    assert jobs.late_rows(query) == 5  # one row in five windows
+    jobs.write_closing(spark.read.parquet(source), closing, "t")
+    jobs.append_to_table(counted, out, checkpoint).awaitTermination()
+    got = sorted((r.user_id, r.window_start, r.n) for r in spark.read.parquet(out).collect())
+    kept = spark.createDataFrame([*rows, at(200, "e"), at(201, "f")], SCHEMA)
+    want = sorted((r.user_id, r.window_start, r.n) for r in jobs.velocity_windows(kept.withColumn("t", kept.t.cast("timestamp")), "t").collect())
+    assert got == want and max(w for _, w, _ in got) == T0 + dt.timedelta(minutes=201)
+
+
 def test_replays_are_dropped_across_batches_and_restarts(spark, dirs):
     source, out, checkpoint = dirs
     stream = feed(spark, source, [at(0, "a"), at(1, "b"), at(1, "b")], [at(0, "a"), at(2, "c")])

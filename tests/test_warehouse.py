@@ -82,12 +82,19 @@ def test_no_refresh_yet(spark, tmp_path):
 
 
 def test_conform(spark):
-    df = spark.createDataFrame([("t", 1e12, 12.345)], "transaction_id string, amount double, distance_km double")
-    row = conform(df, schemas.FACT).first()
+    kinds = "transaction_id string, amount double, distance_km double"
+    row = conform(spark.createDataFrame([("t", None, 12.345)], kinds), schemas.FACT).first()
     assert len(row) == 30 and row.amount is None and row.user_state is None
     assert str(row.distance_km) in ("12.35", "12.34")
 
 
+@pytest.mark.parametrize("value", [1e12, float("nan"), float("inf")])
+def test_a_value_that_does_not_fit_is_an_error(spark, value):
+    df = spark.createDataFrame([("t", value)], "transaction_id string, debt_income_ratio double")
+    with pytest.raises(Exception, match=r"debt_income_ratio does not fit decimal\(8,4\)"):
+        conform(df, schemas.FACT).collect()
+
+
 def test_unknown_chip_is_stored_as_false(spark):
     df = spark.createDataFrame([("Visa", "Debit", None), ("Visa", "Debit", False)], "card_brand string, card_type string, has_chip boolean")
     assert [r.has_chip for r in conform_card_types(df).collect()] == [False, False]
