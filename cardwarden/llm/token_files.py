@@ -37,7 +37,7 @@ FILE_BYTES = 32 << 20
 PART_BYTES = 64 << 20
 LEAST_PART = 4 << 20
 FOOTER = 512
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 _FOOTER = "part long, piece long, docs long, ids long, first long, last long"
 
 # fixed values: the settings of a tokenizer file under which spaces and line breaks always separate
