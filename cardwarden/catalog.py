@@ -32,7 +32,7 @@ from cardwarden.plans import (
     users,
 )
 from cardwarden.plans.views import FRAUD, SUSPICIOUS
-from cardwarden.plans.warehouse import SEGMENT_ADDITIONS, Warehouse, add_columns, conform_facts, insert_if_absent
+from cardwarden.plans.warehouse import ADDITIONS, SEGMENT_ADDITIONS, Warehouse, add_columns, conform_facts, insert_if_absent
 from cardwarden.session import staging_root
 from cardwarden.sources import files
 from cardwarden.sources.staging import read_stage, spread, stage
@@ -327,10 +327,31 @@ def insert_absent(site: Site) -> DataFrame:
 
 def schema_evolution(site: Site) -> DataFrame:
     """A category table of an older layout gains the missing measures with their defaults."""
-    older = site.table("fraud_by_mcc").drop(*SEGMENT_ADDITIONS)
+    older = site.table("fraud_by_mcc").drop(*SEGMENT_ADDITIONS, "computed_at")
     return add_columns(older, SEGMENT_ADDITIONS)
 
 
+def old_runs_upgraded(site: Site) -> DataFrame:
+    """All tables of a run in the first layout, read through the warehouse together with those of a run of today: rows
+    of both, the columns that the old run lacked, and how many of its cells a default filled."""
+    old = Warehouse(site.spark, f"{site.root}/old-warehouse/{site.warehouse.new_run()}")
+    run = old.new_run()
+    for name, added in ADDITIONS.items():
+        site.table(name).drop(*added).write.parquet(old.location(name, run))
+    old.record_schemas(run)
+    old.publish(run)
+    result = None
+    for name, added in ADDITIONS.items():
+        had = [r["column_name"] for r in old.schema_record().where(F.col("table_name") == name).collect()]
+        gained = sorted(c for c in old.table(name).columns if c not in had)
+        both = old.table(name).withColumn("old", F.lit(True)).unionByName(site.table(name).withColumn("old", F.lit(False)))
+        filled = [F.count(F.when(F.col("old"), F.col(c))) for c in gained]
+        counts = both.agg(F.count("*").alias("rows"), F.lit(",".join(gained)).alias("gained"), sum(filled[1:], filled[0]).alias("filled"))
+        counts = counts.select(F.lit(name).alias("table_name"), "*")
+        result = counts if result is None else result.unionByName(counts)
+    return result
+
+
 def run_log(site: Site) -> DataFrame:
     site.run()
     return site.warehouse.run_log().select("status", "rows_processed", "rows_fraud", "notes")
@@ -515,7 +536,7 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
             join_labels, join_cards, join_users, join_mcc, join_centroids, enrich_transactions,
             clean_dates, clean_money, clean_flags, clean_transactions, rejected_rows,
             haversine_distance, derive_features, fraud_signals, fraud_score, suspicion_reasons,
-            transactions_processed, dwh_projection, full_refresh, schema_evolution, run_log, last_run,
+            transactions_processed, dwh_projection, full_refresh, schema_evolution, old_runs_upgraded, run_log, last_run,
             velocity_5min, velocity_features, impossible_travel, amount_zscore, novelty_flags,
             p99_by_channel, incremental_upsert, partitioned_write, stream_scoring,
             velocity_5min_stream, stream_dedup, stream_segment_metrics, amount_histogram_sampled,

@@ -23,6 +23,7 @@ from cardwarden.plans.warehouse import (
     conform,
     conform_card_types,
     conform_profiles,
+    stamped,
 )
 from cardwarden.sources import files
 from cardwarden.sources.staging import spread, stage
@@ -97,8 +98,11 @@ def run(
     try:
         facts = _load(inputs, warehouse, name, rules)
         quality.assert_no_negative_amounts(facts)
+        warehouse.record_schemas(name)
         warehouse.publish(name)
+        warehouse.expire_staging()
     except Exception as error:
+        warehouse.discard(name, "staging", "runs")
         warehouse.log_run("error", None, time.monotonic() - started, str(error))
         raise
     warehouse.log_run(
@@ -137,5 +141,5 @@ def _load(inputs: Inputs, warehouse: Warehouse, name: str, rules: ScoreRules) ->
         "fraud_by_merchant": conform(metrics.fraud_by_merchant(facts), schemas.BY_MERCHANT),
         "user_profiles": conform_profiles(metrics.user_profiles(facts)),
     }
-    _at_once(*[partial(warehouse.write, name, table, df) for table, df in tables.items()])
+    _at_once(*[partial(warehouse.write, name, table, stamped(df)) for table, df in tables.items()])
     return facts

@@ -22,7 +22,7 @@ def top_fraud_users(profiles: DataFrame, n: int = 5) -> DataFrame:
 
 
 def user_profile_lookup(profiles: DataFrame, user_id: str) -> DataFrame:
-    return profiles.where(F.col("user_id") == user_id)
+    return profiles.where(F.col("user_id") == user_id).drop("computed_at")
 
 
 def of_user(facts: DataFrame, user_id: str) -> DataFrame:

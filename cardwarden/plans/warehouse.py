@@ -84,6 +84,34 @@ SEGMENT_ADDITIONS = {
     "amount_suspicious": ("decimal(18,2)", 0),
 }
 FACT_ADDITIONS = {"fraud_score": ("int", None), "card_txn_count": ("bigint", None)}
+CONFUSION_ADDITIONS = {
+    name: ("bigint", None) for name in ("true_positives", "true_negatives", "false_positives", "false_negatives")
+}
+STAMP = {"computed_at": ("timestamp_ntz", None)}
+# What each table gained since its first layout; a run that lacks a column is read with its default.
+ADDITIONS = {
+    "transactions_processed": FACT_ADDITIONS,
+    "fraud_metrics_global": CONFUSION_ADDITIONS | STAMP,
+    "fraud_by_mcc": SEGMENT_ADDITIONS | STAMP,
+    "fraud_by_card_type": SEGMENT_ADDITIONS | STAMP,
+    "fraud_by_state": SEGMENT_ADDITIONS | STAMP,
+    "fraud_by_merchant": SEGMENT_ADDITIONS | STAMP,
+    "user_profiles": STAMP,
+}
+
+
+def stamped(metrics: DataFrame) -> DataFrame:
+    """A metric table with the time at which it was computed."""
+    return metrics.withColumn("computed_at", F.current_timestamp().cast("timestamp_ntz"))
+
+
+def upgraded(df: DataFrame, name: str) -> DataFrame:
+    """A stored table in today's layout: missing columns with their defaults, declared columns first and in their
+    declared types, so that tables of old and new runs can be put together."""
+    whole = add_columns(df, ADDITIONS.get(name, {}))
+    declared = {f.name: f.dataType for f in schemas.WAREHOUSE[name].fields} if name in schemas.WAREHOUSE else {}
+    first = [F.col(c).cast(t).alias(c) for c, t in declared.items() if c in whole.columns]
+    return whole.select(*first, *[c for c in whole.columns if c not in declared])
 
 
 class Warehouse:
@@ -123,11 +151,19 @@ class Warehouse:
     def publish(self, run: str) -> None:
         self._fs().create(self._path(f"{self.root}/runs/{run}/{self.MARKER}"), True).close()
 
+    def expire_staging(self) -> None:
+        """Deletes what complete refreshes before the newest staged. Refreshes that still run keep theirs."""
+        for run in self.runs()[:-1]:
+            self.discard(run, "staging")
+
+    def discard(self, run: str, *parts: str) -> None:
+        for part in parts:
+            self._fs().delete(self._path(f"{self.root}/{part}/{run}"), True)
+
     def expire_runs(self, keep: int = 2) -> None:
         """Deletes all but the newest complete refreshes, and what they staged."""
         for run in self.runs()[:-keep]:
-            for part in ("runs", "staging"):
-                self._fs().delete(self._path(f"{self.root}/{part}/{run}"), True)
+            self.discard(run, "runs", "staging")
 
     def location(self, table: str, run: str | None = None) -> str:
         if run is None:
@@ -140,7 +176,21 @@ class Warehouse:
     # -- tables --------------------------------------------------------------------------------
 
     def table(self, name: str, run: str | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.location(name, run))
+        """In today's layout, whatever layout the run had."""
+        return upgraded(self.spark.read.parquet(self.location(name, run)), name)
+
+    def record_schemas(self, run: str) -> None:
+        """Stores which columns the tables of a run have: one row per table and column."""
+        rows = [
+            (name, place, field.name, field.dataType.simpleString())
+            for name in schemas.WAREHOUSE
+            for place, field in enumerate(self.spark.read.parquet(self.location(name, run)).schema.fields)
+        ]
+        kinds = "table_name string, position int, column_name string, column_type string"
+        self.spark.createDataFrame(rows, kinds).coalesce(1).write.mode("overwrite").parquet(self.location("schema_record", run))
+
+    def schema_record(self, run: str | None = None) -> DataFrame:
+        return self.spark.read.parquet(self.location("schema_record", run))
 
     def write(self, run: str, name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(self.location(name, run))

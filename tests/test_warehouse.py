@@ -8,7 +8,7 @@ from cardwarden.plans import refresh
 from cardwarden.plans.explorer import Filters
 from cardwarden.plans.incremental import load_newer, months, upsert_months, write_by_month
 from cardwarden.plans.warehouse import (
-    FACT_ADDITIONS, SEGMENT_ADDITIONS, Warehouse, add_columns, conform, conform_card_types,
+    ADDITIONS, FACT_ADDITIONS, SEGMENT_ADDITIONS, Warehouse, add_columns, conform, conform_card_types,
     conform_profiles, insert_if_absent, upsert,
 )
 from tests.samples import inputs
@@ -23,7 +23,7 @@ def loaded(spark, tmp_path_factory):
 
 
 def content(df):
-    return sorted(map(str, df.drop("processed_at").collect()))
+    return sorted(map(str, df.drop("processed_at", "computed_at").collect()))
 
 
 def test_two_refreshes_give_equal_tables(loaded):
@@ -41,6 +41,36 @@ def test_declared_types(loaded):
         assert {f.name: f.dataType for f in schema.fields}.items() <= stored.items()
 
 
+def test_every_table_of_an_old_layout_is_read_in_todays(spark, loaded, tmp_path):
+    warehouse, *_ = loaded
+    old = Warehouse(spark, str(tmp_path))
+    run = old.new_run()
+    for name, added in ADDITIONS.items():
+        narrow = warehouse.table(name).drop(*added)
+        if "total_fraud" in narrow.columns:
+            narrow = narrow.withColumn("total_fraud", F.col("total_fraud").cast("int"))
+        narrow.write.parquet(old.location(name, run))
+    old.record_schemas(run)
+    old.publish(run)
+    assert set(ADDITIONS) == set(schemas.WAREHOUSE)
+    recorded = {(r.table_name, r.column_name) for r in old.schema_record().collect()}
+    for name, added in ADDITIONS.items():
+        assert not any((name, c) in recorded for c in added)
+        read, now = old.table(name), warehouse.table(name)
+        assert sorted(read.dtypes) == sorted(now.dtypes)
+        assert content(read.select(*[c for c in now.columns if c not in added])) == content(now.drop(*added))
+        values = {"total_suspicious": 0, "amount_suspicious": 0}
+        assert all(r[c] == values.get(c) for r in read.collect() for c in added)
+    stamps = warehouse.table("fraud_by_state").where("computed_at is null").count()
+    assert stamps == 0 and warehouse.schema_record().where("column_name = 'computed_at'").count() == 6
+
+
+def test_staging_goes_when_a_newer_refresh_stands_or_it_failed(spark, loaded, tmp_path):
+    warehouse, first, second = loaded
+    kept = lambda run: warehouse._fs().exists(warehouse._path(f"{warehouse.root}/staging/{run}"))
+    assert not kept(first) and kept(second)
+
+
 def test_unpublished_refresh_is_not_seen(loaded):
     warehouse, _, second = loaded
     unfinished = warehouse.new_run()
@@ -74,6 +104,8 @@ def test_failed_refresh_is_logged_and_not_published(spark, tmp_path):
     with pytest.raises(Exception, match="amount"):
         refresh.run(spark, broken, warehouse)
     assert warehouse.runs() == [] and warehouse.run_log().first().status == "error"
+    left = [str(f.getPath()) for part in ("staging", "runs") if warehouse._fs().exists(warehouse._path(f"{tmp_path}/{part}")) for f in warehouse._fs().listStatus(warehouse._path(f"{tmp_path}/{part}"))]
+    assert left == []
 
 
 def test_no_refresh_yet(spark, tmp_path):
