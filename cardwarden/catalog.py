@@ -425,7 +425,9 @@ def partitioned_write(site: Site) -> DataFrame:
 
 def ml_ensemble(site: Site) -> DataFrame:
     rows = ensemble.model_rows(site.facts())
-    return ensemble.compare(ensemble.predict(rows, ensemble.train(rows)))
+    model = ensemble.train(rows)
+    threshold = ensemble.choose_threshold(ensemble.predict(rows, model))
+    return ensemble.compare(ensemble.predict(rows, model, threshold))
 
 
 # -- streams -----------------------------------------------------------------------------------
@@ -550,6 +552,7 @@ def _builders() -> dict[str, Callable[[Site], DataFrame]]:
         "card_frequency": lambda s: profiles.card_frequency(_profile_rows(s)),
         "p99_by_mcc": lambda s: profiles.p99_by(s.cleaned(), "mcc"),
         "threshold_sweep": _on_facts(behaviour.threshold_sweep),
+        "ensemble_split": _on_facts(ensemble.split_counts),
         "score_distribution": _on_facts(scoring.score_distribution),
         "metrics_global": _on_facts(metrics.metrics_global),
         "fraud_by_mcc": _on_facts(metrics.fraud_by_mcc),

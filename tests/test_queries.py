@@ -41,6 +41,21 @@ def test_ensemble_finds_at_least_what_the_rules_find(spark, sf_dir):
     assert len({r.tp + r.fp + r.fn + r.tn for r in rows.values()}) == 1
 
 
+def test_ensemble_rules_agree_with_the_split(spark, sf_dir):
+    found = queries()
+    rules = found["ml_ensemble"](spark, sf_dir).where("method = 'rules'").first()
+    split = {r.part: r for r in found["ensemble_split"](spark, sf_dir).collect()}
+    assert set(split) == {"train", "choose", "test"}
+    assert (rules.tp, rules.fp, rules.fn, rules.tn) == tuple(split["test"][c] for c in ("tp", "fp", "fn", "tn"))
+
+
+def test_the_threshold_is_the_best_of_the_grid(spark):
+    from cardwarden.plans.ensemble import choose_threshold
+
+    rows = [(7, i % 4 == 0, (0.62 if i % 4 == 0 else 0.3) + (i % 7) / 100) for i in range(80)] + [(9, True, 0.01)] * 50
+    assert choose_threshold(spark.createDataFrame(rows, "bucket int, is_fraud boolean, fraud_probability double")) == 0.4
+
+
 def test_entry(spark):
     row = entry(spark).first()
     assert (row.total_transactions, row.total_fraud, row.true_positives) == (953, 21, 16)
