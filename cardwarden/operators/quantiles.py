@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 16
-_FIRST = 4
+BITS = 21
+_FIRST = 10
 
 
 def _digits(value: Column) -> list[Column]:
@@ -28,13 +28,9 @@ def _digits(value: Column) -> list[Column]:
     rest = F.when(finite, size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**_FIRST
     step = F.floor(rest)
     first = sign * ((exponent + 1100) * 2**_FIRST + step)
-    far = F.when(F.isnan(value), 1e6).when(size == float("inf"), sign * 5e5).otherwise(0.0)
-    digits = [F.coalesce(first, far)]
-    for _ in range(2):
-        rest = (rest - step) * 2.0**BITS
-        step = F.floor(rest)
-        digits.append(F.coalesce(sign * step, F.lit(0.0)))
-    return [d.cast("long") for d in digits]
+    far = F.when(F.isnan(value), 2e7).when(size == float("inf"), sign * 1e7).otherwise(0.0)
+    second = sign * F.floor((rest - step) * 2.0**BITS)
+    return [d.cast("long") for d in (F.coalesce(first, far), F.coalesce(second, F.lit(0.0)))]
 
 
 def _picked(counts: Column, rank: Column) -> Column:
@@ -49,7 +45,7 @@ def _picked(counts: Column, rank: Column) -> Column:
 def _values_at_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: Column) -> DataFrame:
     """One row per (keys, slot): the value at each 1-based rank of the array ``ranks``, an
     expression over the group's row count ``total``."""
-    digits = dict(zip(["digit_0", "digit_1", "digit_2"], _digits(F.col("value").cast("double"))))
+    digits = dict(zip(["digit_0", "digit_1"], _digits(F.col("value").cast("double"))))
     # The digits are never null, but stated here all levels share one shuffle of these counts: otherwise the
     # joins below would add it to some of them only.
     rows = (
@@ -64,7 +60,7 @@ def _values_at_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: Colu
     first = rows.groupBy(*keys, "digit_0").agg(F.sum("n").alias("n")).groupBy(*keys).agg(listed("digit_0").alias("counts"), F.sum("n").alias("total"))
     state = first.select(*keys, "counts", "total", F.posexplode(ranks).alias("slot", "rank"))
     fixed = ["slot", "total"]
-    for level in range(3):
+    for level in range(2):
         picked = state.withColumn("picked", _picked(F.col("counts"), F.col("rank")))
         state = picked.select(
             *[F.col(k).alias(f"{k}_chosen") for k in keys], *fixed, *[f"chosen_{i}" for i in range(level)],
@@ -75,7 +71,7 @@ def _values_at_ranks(df: DataFrame, keys: Sequence[str], value: str, ranks: Colu
             match = match & F.col(k).eqNullSafe(F.col(f"{k}_chosen"))
         for i in range(level + 1):
             match = match & (F.col(f"digit_{i}") == F.col(f"chosen_{i}"))
-        item = f"digit_{level + 1}" if level < 2 else "value"
+        item = f"digit_{level + 1}" if level < 1 else "value"
         inside = rows.join(state, match)
         group = [*keys, *fixed, "rank", *[f"chosen_{i}" for i in range(level + 1)]]
         state = inside.groupBy(*group, item).agg(F.sum("n").alias("n")).groupBy(*group).agg(listed(item).alias("counts"))

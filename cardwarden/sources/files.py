@@ -172,13 +172,16 @@ def load_labels(spark: SparkSession, path: str) -> DataFrame:
     name = uuid.uuid4().hex
     pieces = land_pieces(spark, spark.read.option("lineSep", ",").text(path).select("value"), f"labels-{name}")
     torn = _odd(F.regexp_replace("value", r"(?s)\\.", ""))
-    records = whole_records(pieces.withColumns({"flips": torn.cast("int"), "closes": F.lit(False)}), ",")
+    if pieces.where(torn).isEmpty():
+        records = pieces
+    else:
+        records = whole_records(pieces.withColumns({"flips": torn.cast("int"), "closes": F.lit(False)}), ",")
+        records = stage(records, f"{staging_root(spark)}/pieces/mended-{name}")
     closed = F.when(F.col("value").rlike(r"[}\]]"), F.regexp_extract_all("value", F.lit(f"({_CLOSED})"), 1)).otherwise(F.array("value"))
     parts = records.select(*SPLIT, "place", F.posexplode(closed).alias("nth", "value")).where("value != ''")
     bare = F.when(F.col("value").rlike(r"[{}\[\]]"), F.regexp_replace("value", _STRING, "")).otherwise("")
     opened, shut = F.length(F.regexp_replace(bare, r"[^{\[]", "")), F.length(F.regexp_replace(bare, r"[^}\]]", ""))
-    parts = stage(parts.withColumns({"depth_change": opened - shut, "brackets": opened + shut > 0}), f"{staging_root(spark)}/pieces/members-{name}")
-    return _members(parts)
+    return _members(parts.withColumns({"depth_change": opened - shut, "brackets": opened + shut > 0}))
 
 
 def _members(parts: DataFrame) -> DataFrame:
