@@ -134,15 +134,19 @@ def append_to_table(
 
 
 def update_table(
-    stream: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds"
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds",
+    keys: list[str] | None = None, fold_every: int = 50,
 ) -> StreamingQuery:
     """Changed groups of each micro-batch in a folder of their own. A batch that is run again
-    overwrites its folder, so nothing counts twice; ``latest`` reads the current values."""
+    overwrites its folder, so nothing counts twice; ``latest`` reads the current values. With ``keys``, the batches
+    are folded into a snapshot after every ``fold_every`` of them."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
             f"{path}/batch_{batch_id:010d}"
         )
+        if keys and (batch_id + 1) % fold_every == 0:
+            fold(batch.sparkSession, path, keys)
 
     return (
         stream.writeStream.outputMode("update")
@@ -153,12 +157,48 @@ def update_table(
     )
 
 
+def _complete(spark: SparkSession, path: str, kind: str) -> dict[int, str]:
+    """Folders of that kind that Spark has marked as complete, by number, ascending."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return {}
+    names = sorted(status.getPath().getName() for status in fs.listStatus(base))
+    marked = lambda n: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
+    return {int(n.removeprefix(kind)): f"{path}/{n}" for n in names if n.startswith(kind) and marked(n)}
+
+
+def _newest(spark: SparkSession, path: str, keys: list[str]) -> tuple[DataFrame, int]:
+    """The newest values of each group with their batch, and the newest batch. Read are the last snapshot and the
+    batches after it, whatever the number of batches so far."""
+    snapshots, batches = _complete(spark, path, "snapshot_"), _complete(spark, path, "batch_")
+    upto = max(snapshots, default=-1)
+    paths = [snapshots[upto]] if snapshots else []
+    paths += [place for number, place in batches.items() if number > upto]
+    written = spark.read.parquet(*paths)
+    values = [c for c in written.columns if c not in keys]
+    newest = written.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("row"))
+    return newest.select(*keys, "row.*"), max([upto, *batches])
+
+
+def fold(spark: SparkSession, path: str, keys: list[str]) -> None:
+    """Writes a snapshot of the newest values; it counts once it is complete. Batches and snapshots before the
+    snapshot that stood until now go, so a reader that began with that one can finish."""
+    newest, upto = _newest(spark, path, keys)
+    before = max(_complete(spark, path, "snapshot_"), default=-1)
+    if upto == before:
+        return
+    newest.write.mode("overwrite").parquet(f"{path}/snapshot_{upto:010d}")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [p for n, p in _complete(spark, path, "snapshot_").items() if n < before]
+    old += [p for n, p in _complete(spark, path, "batch_").items() if n <= before]
+    for place in old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(place), True)
+
+
 def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Newest values of each group that ``update_table`` wrote."""
-    written = spark.read.option("recursiveFileLookup", True).parquet(path)
-    values = [c for c in written.columns if c not in (*keys, "batch_id")]
-    newest = written.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("row"))
-    return newest.select(*keys, "row.*")
+    return _newest(spark, path, keys)[0].drop("batch_id")
 
 
 def upsert_into_months(

@@ -72,6 +72,37 @@ def test_segment_totals_follow_updates(spark, dirs):
     assert [(r.total, r.suspicious, r.amount_suspicious) for r in rows] == [(2, 1, 2.5), (1, 1, 4.0)]
 
 
+def test_a_hundred_batches_are_read_from_a_snapshot_and_the_newer_ones(spark, dirs):
+    _, out, _ = dirs
+    want = {}
+    for batch in range(100):
+        rows = [(f"k{(batch * 7 + i) % 40}", batch * 10 + i, batch) for i in range(3)]
+        want |= {k: v for k, v, _ in rows}
+        spark.createDataFrame(rows, "k string, v long, batch_id long").coalesce(1).write.parquet(f"{out}/batch_{batch:010d}")
+        if batch in (29, 59, 89):
+            jobs.fold(spark, out, ["k"])
+    found = jobs.latest(spark, out, ["k"])
+    assert {r.k: r.v for r in found.collect()} == want
+    folders = {f.split("/")[-2] for f in found.inputFiles()}
+    assert folders == {"snapshot_0000000089", *[f"batch_{b:010d}" for b in range(90, 100)]}
+    # an unfinished snapshot does not count, and what stood before the last but one is gone
+    spark.range(1).write.parquet(f"{out}/snapshot_0000000099")
+    import os
+
+    os.remove(f"{out}/snapshot_0000000099/_SUCCESS")
+    assert {r.k: r.v for r in jobs.latest(spark, out, ["k"]).collect()} == want
+    assert not os.path.exists(f"{out}/batch_0000000059") and os.path.exists(f"{out}/batch_0000000060")
+
+
+def test_a_stream_folds_its_batches(spark, dirs):
+    source, out, checkpoint = dirs
+    stream = feed(spark, source, *[[at(m, f"t{m}", amount=1.0, flagged=True)] for m in range(5)])
+    segments = jobs.segment_stream(stream, "t", "s")
+    jobs.update_table(segments, out, checkpoint, every=None, keys=["window_start", "s"], fold_every=2).awaitTermination()
+    row = jobs.latest(spark, out, ["window_start", "s"]).first()
+    assert (row.total, row.suspicious, row.amount_suspicious) == (5, 5, 5.0) and jobs._complete(spark, out, "snapshot_")
+
+
 def test_stream_upserts_into_months(spark, dirs):
     source, out, checkpoint = dirs
     dated = "transaction_id string, transaction_date timestamp_ntz, v int"
