@@ -10,7 +10,9 @@ from cardwarden.config import DEFAULT_RULES, ScoreRules
 from cardwarden.functions.geo import haversine_km
 from cardwarden.functions.numbers import cents, ratio
 from cardwarden.operators.enrich import join_centroids
-from cardwarden.operators.neighbours import MICROS_PER_DAY, micros, with_neighbour, with_running_totals
+from cardwarden.operators.neighbours import (
+    MICROS_PER_DAY, ROWS_PER_CHUNK, crowded_chunks, micros, widths_below, with_neighbour, with_running_totals,
+)
 
 HOUR, DAY, MONTH = MICROS_PER_DAY // 24, MICROS_PER_DAY, 30 * MICROS_PER_DAY
 AIRLINER_KMH = 900.0
@@ -33,7 +35,7 @@ def velocity_windows(
     )
 
 
-def velocity_features(df: DataFrame, time: str) -> DataFrame:
+def velocity_features(df: DataFrame, time: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Per transaction: the user's transactions in the last hour and day, distinct merchants in the
     last day and mean amount of the last 30 days, the transaction and its peers included.
 
@@ -43,7 +45,8 @@ def velocity_features(df: DataFrame, time: str) -> DataFrame:
     """
     rows = df.select("transaction_id", "user_id", "merchant_id", time, cents(F.col("amount")).alias("cents"))
     returning = with_neighbour(
-        rows, ["user_id", "merchant_id"], time, "transaction_id", [time], "back", following=True
+        rows, ["user_id", "merchant_id"], time, "transaction_id", [time], "back", following=True,
+        rows_per_chunk=rows_per_chunk,
     )
     now, back = micros(time), F.unix_micros(F.col("back")[time].cast("timestamp"))
     # Even positions hold arrivals, the odd one after them departures: a frame includes both ends.
@@ -72,7 +75,13 @@ def velocity_features(df: DataFrame, time: str) -> DataFrame:
     )
     line = returning.select("user_id", F.inline(steps))
     measures = ["hour", "day", "merchants", "month_n", "month_cents"]
-    counted = with_running_totals(line, ["user_id"], "at", measures, 2 * DAY)
+    # Where steps may fall, counted without the merchants' window: a merchant's departure is at the next
+    # arrival there or a day later.
+    places = F.array(now * 2, now * 2, *[(now + d) * 2 + 1 for d in (HOUR, DAY, DAY, MONTH)])
+    places_of = rows.select("user_id", F.explode(places).alias("at"))
+    widths = widths_below(2 * DAY, unit=2)
+    crowded = crowded_chunks(places_of, ["user_id"], F.col("at"), widths, rows_per_chunk)
+    counted = with_running_totals(line, ["user_id"], "at", measures, widths, crowded)
     return counted.where("transaction_id is not null").select(
         "transaction_id",
         "user_id",
@@ -83,16 +92,18 @@ def velocity_features(df: DataFrame, time: str) -> DataFrame:
     )
 
 
-def impossible_travel(df: DataFrame, time: str, speed_above: float = AIRLINER_KMH) -> DataFrame:
+def impossible_travel(
+    df: DataFrame, time: str, speed_above: float = AIRLINER_KMH, rows_per_chunk: int = ROWS_PER_CHUNK
+) -> DataFrame:
     """Each located purchase with the user's previous one: distance, time between, speed, and
     whether no airliner could have made it."""
     located = join_centroids(
         df.select("transaction_id", "user_id", "merchant_state", time)
     ).where("merchant_lat is not null")
     payload = ["transaction_id", time, "merchant_lat", "merchant_lon"]
-    paired = with_neighbour(located, ["user_id"], time, "transaction_id", payload, "before").where(
-        "before is not null"
-    )
+    paired = with_neighbour(
+        located, ["user_id"], time, "transaction_id", payload, "before", rows_per_chunk=rows_per_chunk
+    ).where("before is not null")
     before = F.col("before")
     measured = paired.select(
         "transaction_id",

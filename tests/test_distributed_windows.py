@@ -79,9 +79,11 @@ COLUMNS = (
 )
 
 
-def test_velocity_features(spark):
+@pytest.mark.parametrize("rows_per_chunk", [1, 9, 1_000_000])
+def test_velocity_features(spark, rows_per_chunk):
     rows = purchases()
-    got = velocity_features(spark.createDataFrame(rows, COLUMNS).repartition(5), "event_time").collect()
+    df = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    got = velocity_features(df, "event_time", rows_per_chunk).collect()
     assert len(got) == len(rows)
     by_id = {r.transaction_id: r for r in got}
     for tid, user, _, when, *_ in rows:
@@ -98,13 +100,13 @@ def test_velocity_features(spark):
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("hours", [1, 24, 24 * 365])
-def test_neighbour(spark, following, hours):
+@pytest.mark.parametrize("hours, rows_per_chunk", [(1, 10**6), (24, 10**6), (24, 1), (24, 9), (24 * 365, 10**6)])
+def test_neighbour(spark, following, hours, rows_per_chunk):
     rows = purchases(5)
     df = spark.createDataFrame(rows, COLUMNS).repartition(5)
     got = with_neighbour(
         df, ["user_id"], "event_time", "transaction_id", ["transaction_id", "amount"], "n", following,
-        hours * 3_600_000_000,
+        hours * 3_600_000_000, rows_per_chunk,
     ).collect()
     assert len(got) == len(rows)
     ordered = sorted(rows, key=lambda r: (r[3], r[0]), reverse=following)
@@ -115,6 +117,31 @@ def test_neighbour(spark, following, hours):
     assert {r.transaction_id: tuple(r.n) if r.n else None for r in got} == want
 
 
+def test_a_user_with_a_third_of_the_rows_in_one_day_is_spread(spark):
+    micro = 1_704_067_200_000_000  # 2024-01-01
+    hot = F.col("id") % 3 == 0
+    df = spark.range(60_000).select(
+        F.col("id").alias("transaction_id"),
+        F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id") % 500)).alias("user_id"),
+        F.timestamp_micros(F.when(hot, micro + F.col("id") * 1_400_000).otherwise(micro + F.col("id") * 86_400_000_000 % 10**15)).alias("at"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        def largest(rows_per_chunk):
+            paired = with_neighbour(df, ["user_id"], "at", "transaction_id", ["transaction_id"], "n", rows_per_chunk=rows_per_chunk)
+            # counting n keeps the window in the plan
+            parts = paired.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), F.count("n"))
+            sizes = [r["rows"] for r in parts.collect()]
+            assert sum(sizes) == 60_000
+            return max(sizes) / (60_000 / 8)
+
+        assert largest(500) < 2 < largest(1_000_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_impossible_travel(spark):
     hour = dt.timedelta(hours=1)
     rows = [
