@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cardwarden import schemas
 from cardwarden.plans import refresh
 from cardwarden.plans.explorer import Filters
-from cardwarden.plans.incremental import load_newer, months, upsert_months, write_by_month
+from cardwarden.plans.incremental import key_index, key_span, load_newer, months, upsert_months, write_by_month
 from cardwarden.plans.warehouse import (
     ADDITIONS, FACT_ADDITIONS, SEGMENT_ADDITIONS, Warehouse, add_columns, conform, conform_card_types,
     conform_profiles, insert_if_absent, upsert,
@@ -186,6 +186,35 @@ def test_upsert_months_leaves_other_months_alone(spark, tmp_path):
     assert months(spark, path, (2024, 2), (2024, 3)).count() == 3
 
 
+def test_a_row_that_changes_its_month_exists_once(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    write_by_month(dated(spark, [("7", (2024, 1, 1), 0), ("8", (2024, 2, 1), 0), ("b", (2024, 2, 2), 0), ("x", (2024, 4, 1), 0)]), path)
+    untouched = {p.name for p in (tmp_path / "facts/year=2024/month=4").iterdir()}
+    for turn, rows in enumerate([
+        [("7", (2024, 3, 1), 5), ("b", (2024, 3, 2), 5), ("b", (2024, 2, 1), 4)],  # 7 was all of January
+        [("7", (2024, 2, 9), 6), ("new", (2025, 1, 1), 6)],
+        [("7", (2024, 2, 9), 6), ("new", (2025, 1, 1), 6)],  # the same load again
+    ]):
+        upsert_months(spark, path, dated(spark, rows), "transaction_id", "transaction_date", str(tmp_path / f"staging{turn}"))
+    rows = spark.read.parquet(path).collect()
+    assert {(r.transaction_id, r.year, r.month, r.v) for r in rows} == {
+        ("7", 2024, 2, 6), ("8", 2024, 2, 0), ("b", 2024, 3, 5), ("new", 2025, 1, 6), ("x", 2024, 4, 0)
+    }
+    assert len(rows) == 5
+    assert not (tmp_path / "facts/year=2024/month=1").exists()
+    assert {p.name for p in (tmp_path / "facts/year=2024/month=4").iterdir()} == untouched
+    assert (tmp_path / "facts_keys/_COMPLETE").exists()
+    index = key_index(spark, path).collect()
+    assert sorted((r.key, r.year, r.month) for r in index) == sorted((r.transaction_id, r.year, r.month) for r in rows)
+
+
+def test_key_spans(spark):
+    keys = ["0", "9", "10", "25", "007", "-3", "a", "9" * 30, None]
+    found = {r.k: r.s for r in spark.createDataFrame([(k,) for k in keys], "k string").select("k", key_span("k", 10).alias("s")).collect()}
+    assert [found[k] for k in ("0", "9", "10", "25")] == [0, 0, 1, 2]
+    assert all(found[k] < 0 for k in ("007", "-3", "a", "9" * 30, None))
+
+
 def test_filters(loaded):
     facts = loaded[0].table("transactions_processed")
 
