@@ -21,6 +21,7 @@ import re
 import tempfile
 import urllib.parse
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,11 +36,12 @@ ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:
 # a run of 24 or 20 characters is there exactly where the run without a least length is that long
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-URL = re.compile(r"[!-~]*%[0-9A-Fa-f]{2}[!-~]*")
+# a whole run that holds a code: tried at the start of each run only, so linear in the text
+URL = re.compile(r"(?<![!-~])(?=[!-~]*?%[0-9A-Fa-f]{2})[!-~]++")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)")
-ESCAPED = re.compile(rf"[!-~]*{ESCAPES.pattern}[!-~]*")
+ESCAPED = re.compile(rf"(?<![!-~])(?=[!-~]*?{ESCAPES.pattern})[!-~]++")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\0|x[\x01\x5e\x9c\xda]")
 # what a decoded layer must hold to give a find or a further layer
 WORTH = re.compile(rb"(?i:password|passwd|secret|token|api_?key)|AKIA|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}|" + MAGIC.pattern)
@@ -144,35 +146,50 @@ def _byte_ends(layer: str) -> np.ndarray:
     return np.cumsum(np.where((code >= 0xDC80) & (code <= 0xDCFF), 1, size))
 
 
-def _url(token: str) -> tuple[str, list[tuple[int, int]]] | None:
-    """Percent-encoded runs as text, with the piece of ``token`` behind each character."""
-    out, places, at = [], [], 0
+class _Places:
+    """The piece of a token behind each character of what it decodes to."""
+
+    def __init__(self):
+        self.out, self.starts, self.ends, self.at = [], array("q"), array("q"), 0
+
+    def keep(self, token: str, upto: int) -> None:
+        """What lies between the codes stays."""
+        self.out.append(token[self.at : upto])
+        self.starts.extend(range(self.at, upto))
+        self.ends.extend(range(self.at + 1, upto + 1))
+        self.at = upto
+
+    def put(self, char: str, upto: int) -> None:
+        self.out.append(char)
+        self.starts.append(self.at)
+        self.ends.append(upto)
+        self.at = upto
+
+    def done(self, token: str) -> tuple[str, np.ndarray]:
+        self.keep(token, len(token))
+        return "".join(self.out), np.stack([np.array(self.starts, np.int64), np.array(self.ends, np.int64)], axis=1)
+
+
+def _url(token: str) -> tuple[str, np.ndarray]:
+    """Percent-encoded runs as text."""
+    found = _Places()
     for run in re.finditer(r"(?:%[0-9A-Fa-f]{2})+", token):
-        out.append(token[at : run.start()])
-        places += [(i, i + 1) for i in range(at, run.start())]
-        where = run.start()
+        found.keep(token, run.start())
         for c in urllib.parse.unquote(run.group(), errors="surrogateescape"):
-            step = 3 * len(c.encode("utf-8", "surrogateescape"))
-            out.append(c)
-            places.append((where, where + step))
-            where += step
-        at = run.end()
-    out.append(token[at:])
-    return "".join(out), places + [(i, i + 1) for i in range(at, len(token))]
+            found.put(c, found.at + 3 * len(c.encode("utf-8", "surrogateescape")))
+    return found.done(token)
 
 
-def _escapes(token: str) -> tuple[str, list[tuple[int, int]]] | None:
-    out, places, at = [], [], 0
+def _escapes(token: str) -> tuple[str, np.ndarray]:
+    found = _Places()
     for m in ESCAPES.finditer(token):
         code = m.group()
         number = int(code[3:-1], 16) if code[:3] == "&#x" else int(code[2:-1]) if code[:2] == "&#" else int(code[2:], 16)
         if number > 0x10FFFF:
             continue
-        out.append(token[at : m.start()] + chr(number))
-        places += [(i, i + 1) for i in range(at, m.start())] + [m.span()]
-        at = m.end()
-    out.append(token[at:])
-    return "".join(out), places + [(i, i + 1) for i in range(at, len(token))]
+        found.keep(token, m.start())
+        found.put(chr(number), m.end())
+    return found.done(token)
 
 
 def _base64(token: str) -> Iterator[tuple[str, np.ndarray]]:
@@ -205,7 +222,7 @@ def _once(unwrap: Callable) -> Callable:
     def run(token: str) -> Iterator[tuple[str, np.ndarray]]:
         text, places = unwrap(token)
         if text != token:
-            yield text, np.asarray(places, np.int64)
+            yield text, places
 
     return run
 
