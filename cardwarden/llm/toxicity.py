@@ -16,10 +16,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import arrow_map, table
+from cardwarden.llm.common import arrow_map, stage, table
 
 WIDTH = 32
 STEP = 16
@@ -325,12 +325,31 @@ def _scorer(m: Model) -> Callable:
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled documents of each class."""
+def sampled_ids(docs: DataFrame, labels: DataFrame, sample: int) -> list[tuple]:
+    """(id, class) of at most ``sample`` labelled documents of each class, those with the smallest md5 of their id.
+
+    Ids only: a histogram of the first four digits of the md5 tells where a class has enough, and what lies beyond
+    is not sorted.
+    """
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    texts = docs.select(F.col("doc_id"), F.col("text")).join(marked, "doc_id").withColumn("o", F.md5(F.col("doc_id").cast("string")))
-    rows = [r for c in (0, 1) for r in texts.where(F.col("toxic") == c).orderBy("o", "text").limit(sample).collect()]
-    return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
+    keyed = marked.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("o", F.md5(F.col("doc_id").cast("string")))
+    keyed = stage(keyed.where(F.col("toxic").isin(0, 1)).withColumn("bin", F.substring("o", 1, 4)), "toxic-ids")
+    bins = keyed.groupBy("toxic", "bin").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("toxic").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))  # 65,536 bins at most
+    cuts = bins.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < sample).groupBy("toxic").agg(F.max("bin").alias("cut"))
+    near = keyed.join(F.broadcast(cuts), "toxic").where(F.col("bin") <= F.col("cut"))
+    return [(r["doc_id"], r["toxic"]) for c in (0, 1) for r in near.where(F.col("toxic") == c).orderBy("o", "doc_id").limit(sample).collect()]
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fit on at most ``sample`` labelled documents of each class. Of rows that share an id the smallest text counts."""
+    chosen = sampled_ids(docs, labels, sample)
+    if not chosen:
+        return fit([], [])
+    ids = docs.sparkSession.createDataFrame([(i,) for i, _ in chosen], docs.select("doc_id").schema)
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+    texts = {r["doc_id"]: r["text"] for r in found}
+    return fit([texts[i] for i, _ in chosen], [c for _, c in chosen])
 
 
 def score_toxicity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
