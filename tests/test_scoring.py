@@ -150,3 +150,16 @@ def test_quality(facts):
         quality.assert_no_negative_amounts(facts.withColumn("amount", F.lit(-1.0)))
     assert quality.duplicate_ids(facts).count() == 0
     assert quality.duplicate_ids(facts.unionByName(facts)).count() == 20
+
+
+def test_rows_are_dealt_to_ranges_before_they_are_scored(spark):
+    """What stands below a deal by ranges is computed twice."""
+    clean = clean_transactions(merge_inputs(inputs(spark)))
+    dealt = score_transactions(clean, build_profiles(clean), ranges=("user_id", "transaction_date"))
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    above, below = plan.split("RepartitionByExpression", 1)
+    assert "fraud_score" in above and "distance_km" in above
+    assert "fraud_score" not in below and "distance_km" not in below
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, score_transactions(clean, build_profiles(clean)).collect()))
