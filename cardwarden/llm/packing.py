@@ -10,6 +10,7 @@ pieces of each length, ranked in parallel, take the places that the patterns hav
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -27,13 +28,21 @@ CACHE_WORDS = 400_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+# White space as the tokenizer's rule has it. A run before a word is one chunk but for its last character, which
+# goes to the word if it is a space; so the byte-level rule never joins what these chunks separate.
+_SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_CHUNKS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_MARKS = ".,;:!?*#$%&\"()[]{}<>=+-/|_~^@"
+_BLANK = "\u0120"  # how the byte-level rule writes a space
+
+
 class IdBytes:
     """A text's ids as little-endian 32-bit bytes, equal to those of ``tokenizers``.
 
-    The byte-level rule never joins what a single space before a non-space separates, so a text is cut
-    there and each distinct chunk is encoded once. Texts with other runs of spaces, or with the string of an
-    added token, are encoded whole.
-    The cache only saves time; it is emptied when it is full.
+    A text is cut where the byte-level rule cuts at white space, and each distinct chunk is encoded once. In a chunk
+    of English letters and closing marks the rule cuts between the two, so each goes to the model once for all
+    chunks that have it. Texts with the string of an added token are encoded whole.
+    The caches only save time; they are emptied when they are full.
     """
 
     def __init__(self, path: str):
@@ -41,30 +50,39 @@ class IdBytes:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _chunk(self, chunk: str) -> bytes:
+        core = chunk.rstrip(_MARKS)
+        letters = core.removeprefix(" ")
+        if not (letters.isascii() and letters.isalpha()):
+            return self._encode(chunk)
+        parts, tail = self.parts, chunk[len(core) :]
+        if core not in parts:
+            parts[core] = np.array([t.id for t in self.model.tokenize(core.replace(" ", _BLANK))], "<u4").tobytes()
+        if tail not in parts:
+            parts[tail] = self._encode(tail)
+        return parts[core] + parts[tail]
+
+    def _encode(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        if not rest or text[-1].isspace() or any(not c or c[0].isspace() for c in rest) or any(t in text for t in self.added):
-            return self._encode([text])[0]
-        cache = self.cache
-        try:
-            return b"".join([self._first(first), *[cache[c] for c in rest]])
-        except KeyError:
-            new = [c for c in dict.fromkeys(rest) if c not in cache]
-            if len(cache) + len(new) > CACHE_WORDS:
+        if any(t in text for t in self.added):
+            return self._encode(text)
+        cache, chunks = self.cache, _CHUNKS.findall(text)
+        found = list(map(cache.get, chunks))
+        if None in found:
+            for i, known in enumerate(found):
+                if known is None:
+                    chunk = chunks[i]
+                    found[i] = cache.get(chunk) or cache.setdefault(chunk, self._chunk(chunk))
+            if len(cache) > CACHE_WORDS:
                 cache.clear()
-                new = list(dict.fromkeys(rest))
-            cache.update(zip(new, self._encode([" " + c for c in new])))
-            return b"".join([self._first(first), *[cache[c] for c in rest]])
-
-    def _first(self, chunk: str) -> bytes:
-        return self._encode([chunk])[0] if chunk else b""
+                self.parts = {"": b""}
+        return b"".join(found)
 
 
 @lru_cache(maxsize=2)
