@@ -191,9 +191,16 @@ def _copies(keys: np.ndarray, nulls: int) -> np.ndarray:
 
 def pack_file(keys: list[int | None], documents: list[bytes], kind: np.dtype, part: int, piece: int) -> bytes:
     """One file: documents (ids with their end id) in the order of their keys, nulls first."""
+    return bytes(sealed(keys, bytearray(b"".join(documents)), [len(d) for d in documents], kind, part, piece))
+
+
+def sealed(keys: list[int | None], content: bytearray, sizes: list[int], kind: np.dtype, part: int, piece: int) -> bytearray:
+    """``content``, a file's payload with documents of ``sizes`` bytes, made a whole file in place, so that the payload
+    is held once."""
     nulls = sum(k is None for k in keys)
     held = np.array([0 if k is None else k for k in keys], "<i8")
-    lengths = np.array([len(d) // kind.itemsize for d in documents], "<u4")
+    lengths = np.array(sizes, np.int64) // kind.itemsize
+    lengths = lengths.astype("<u4")
     offsets = np.cumsum(lengths, dtype="<u8") - lengths
     empty = np.arange(len(keys)) < nulls
     for seed in range(100):
@@ -207,14 +214,17 @@ def pack_file(keys: list[int | None], documents: list[bytes], kind: np.dtype, pa
     by_slot = np.empty(len(keys), np.int64)
     by_slot[slot] = np.arange(len(keys))
     sections = [
-        b"".join(documents), held.tobytes(), index.words.tobytes(), index.ranks.tobytes(),
+        held.tobytes(), index.words.tobytes(), index.ranks.tobytes(),
         offsets[by_slot].astype("<u8").tobytes(), lengths[by_slot].tobytes(), (hashes[by_slot] >> np.uint64(32)).astype("<u4").tobytes(),
     ]
     footer = {
         "part": part, "piece": piece, "docs": len(keys), "ids": int(lengths.sum()), "first": keys[0], "last": keys[-1],
-        "nulls": nulls, "width": kind.itemsize, "seed": seed, "sizes": [len(s) for s in sections], "levels": index.sizes,
+        "nulls": nulls, "width": kind.itemsize, "seed": seed, "sizes": [len(content), *map(len, sections)], "levels": index.sizes,
     }
-    return b"".join(sections) + json.dumps(footer, separators=(",", ":")).encode().ljust(FOOTER)
+    for section in sections:
+        content += section
+    content += json.dumps(footer, separators=(",", ":")).encode().ljust(FOOTER)
+    return content
 
 
 class IdFile:
@@ -252,22 +262,30 @@ def _packed(path: str, end_id: int, limit: int) -> Callable:
         end = np.array([end_id], encode.kind).tobytes()
         part, piece = TaskContext.get().partitionId(), 0
         keys: list = []
-        documents: list[bytes] = []
-        size = 0
+        sizes: list[int] = []
+        content = bytearray()
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                documents.append(encode(text.as_py() or "") + end)
+                before = len(content)
+                content += encode(text.as_py() or "")
+                content += end
                 keys.append(key)
-                size += len(documents[-1])
-                if size >= limit:
-                    yield pa.RecordBatch.from_arrays([pa.array([pack_file(keys, documents, encode.kind, part, piece)], pa.binary())], names=["file"])
-                    keys, documents, size, piece = [], [], 0, piece + 1
+                sizes.append(len(content) - before)
+                if len(content) >= limit:
+                    yield _file_row(sealed(keys, content, sizes, encode.kind, part, piece))
+                    keys, sizes, content, piece = [], [], bytearray(), piece + 1
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array([pack_file(keys, documents, encode.kind, part, piece)], pa.binary())], names=["file"])
+            yield _file_row(sealed(keys, content, sizes, encode.kind, part, piece))
 
     return run
 
 
+def _file_row(content: bytearray) -> pa.RecordBatch:
+    """A batch of one file, whose bytes are not copied."""
+    ends = pa.py_buffer(np.array([0, len(content)], np.int32))
+    return pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(content)])], names=["file"])
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES) -> None:
     """Write all texts in ascending order of their keys, nulls first.
 

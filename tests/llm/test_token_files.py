@@ -86,3 +86,13 @@ def test_no_documents(spark):
     path = tempfile.mkdtemp(prefix="token-files-") + "/files"
     tf.write_token_files(spark.createDataFrame([], SCHEMA), path, PATH)
     assert tf.read_token_files(spark, path).collect() == [] and tf.fetch(spark, path, [1]).collect() == []
+
+
+def test_a_file_is_sealed_in_place_and_handed_over_without_a_copy():
+    content = bytearray(b"\x01\x00\x02\x00\x02\x00")
+    held = tf.sealed([3, 5], content, [4, 2], np.dtype("<u2"), 0, 0)
+    assert held is content
+    assert bytes(held) == tf.pack_file([3, 5], [b"\x01\x00\x02\x00", b"\x02\x00"], np.dtype("<u2"), 0, 0)
+    cell = tf._file_row(held).column(0)
+    assert cell[0].as_py() == bytes(held)
+    assert cell.buffers()[2].address == np.frombuffer(held, np.uint8).ctypes.data
