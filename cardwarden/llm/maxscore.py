@@ -3,8 +3,8 @@
 A vector's component is a posting of the term (dimension, sign). A query weighs the terms that agree with its
 own signs positively; the others can only lower a score. In each shard the positive terms are put in order of
 their score bounds. Terms are essential until the bounds of the rest sum to less than the k-th best score so
-far: only rows on essential postings can still win. Those postings are traversed; the rest is probed, a few
-terms at a time, for rows that stay competitive. Shards and query blocks have bounded sizes and meet pairwise;
+far: only rows on essential postings can still win. Those postings are traversed, for some queries at once as a
+product of matrices; the rest is probed, a few terms at a time, for rows that stay competitive. Shards and query blocks have bounded sizes and meet pairwise;
 a query's best rows of all shards are merged at the end.
 """
 
@@ -24,6 +24,8 @@ EVERY = 50
 SHARD_ROWS = 16_384
 QUERY_ROWS = 1_024
 PROBE = 8
+SEEDS = 65
+TOGETHER = 64
 _OUT = "query_row long, query_id long, row long, vec_id long, score long"
 
 
@@ -33,48 +35,57 @@ class Shard:
     def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray):
         self.ids, self.rows, self.vectors = ids, rows, vectors
         self.postings = {(d, s): np.flatnonzero(vectors[:, d] * s > 0) for d in range(vectors.shape[1]) for s in (1, -1)}
+        self.strong: dict[tuple[int, int], np.ndarray] = {}
+        self.floats: np.ndarray | None = None
         self.bounds = {s: np.maximum(vectors * s, 0).max(axis=0, initial=0) for s in (1, -1)}
 
-    def best(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, scores) of the ``k`` highest scores, ties to the smaller id; the query's own row is left out."""
-        n = len(self.ids)
-        bound = np.where(query > 0, query * self.bounds[1], -query * self.bounds[-1])
-        terms = np.argsort(-bound, kind="stable")
-        rest = np.append(np.cumsum(bound[terms][::-1])[::-1], 0)  # rest[i]: bounds of terms i and later
-        others = self.rows != own
-        seed = np.flatnonzero(others)
-        if len(terms) and len(seed) > k:
-            d = terms[0]
-            strong = self.postings[d, 1 if query[d] > 0 else -1]
-            strong = strong[others[strong]]
-            take = min(len(strong), 64)
-            seed = strong[np.argpartition(-np.abs(self.vectors[strong, d]), take - 1)[:take]] if take else seed[:0]
-        known = self.vectors[seed] @ query
-        least = np.partition(known, -k)[-k] if len(known) >= k else None
-        if least is None or least <= 0:  # a row on no positive posting may still be among the best
-            alive, upto = np.flatnonzero(others), 0
-            partial = np.zeros(len(alive), np.int64)
-        else:
-            upto = int(np.argmax(rest < least)) if (rest < least).any() else len(terms)
-            total, touched = np.zeros(n, np.int64), np.zeros(n, bool)
-            for d in terms[:upto]:
-                on = self.postings[d, 1 if query[d] > 0 else -1]
-                total[on] += query[d] * self.vectors[on, d]
-                touched[on] = True
-            alive = np.flatnonzero(touched & others & (total + rest[upto] >= least))
-            partial = total[alive]
-            for d in terms[:upto]:  # terms of the other sign lower the score
-                partial += np.minimum(query[d] * self.vectors[alive, d], 0)
-            good = partial + rest[upto] >= least
-            alive, partial = alive[good], partial[good]
-        for at in range(upto, len(terms), PROBE):
-            ds = terms[at : at + PROBE]
-            partial += self.vectors[np.ix_(alive, ds)] @ query[ds]
-            if least is not None:
-                good = partial + rest[min(at + PROBE, len(terms))] >= least
-                alive, partial = alive[good], partial[good]
-        order = np.lexsort((self.rows[alive], self.ids[alive], -partial))[:k]
-        return alive[order], partial[order]
+    def seeds(self, d: int, s: int) -> np.ndarray:
+        """The rows with the largest components on a posting, at most ``SEEDS``."""
+        if (d, s) not in self.strong:
+            on = self.postings[d, s]
+            take = min(len(on), SEEDS)
+            self.strong[d, s] = on[np.argpartition(-np.abs(self.vectors[on, d]), take - 1)[:take]] if take else on
+        return self.strong[d, s]
+
+    def least(self, query: np.ndarray, term: int | None, own: int, k: int) -> int | None:
+        """A score that ``k`` other rows reach; none where so few are tried."""
+        seed = np.arange(len(self.ids)) if term is None or len(self.ids) <= k + 1 else self.seeds(term, 1 if query[term] > 0 else -1)
+        known = self.vectors[seed[self.rows[seed] != own]] @ query
+        return int(np.partition(known, -k)[-k]) if len(known) >= k else None
+
+    def best(self, queries: np.ndarray, owns: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (places, scores) of the ``k`` highest scores, ties to the smaller id; the query's own row is
+        left out. The essential terms of several queries are traversed in one product of matrices."""
+        bounds = np.where(queries > 0, queries * self.bounds[1], -queries * self.bounds[-1])
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        sorted_bounds = np.take_along_axis(bounds, order, axis=1)
+        rest = np.hstack([np.cumsum(sorted_bounds[:, ::-1], axis=1)[:, ::-1], np.zeros((len(queries), 1), bounds.dtype)])  # rest[q, i]: bounds of terms i and later
+        least = [self.least(q, o[0] if len(o) else None, own, k) for q, o, own in zip(queries, order, owns)]
+        # a row on no positive posting may be among the best where the least score is not above zero: all terms count
+        upto = [int(np.argmax(r < v)) if v is not None and v > 0 and (r < v).any() else queries.shape[1] for r, v in zip(rest, least)]
+        essential = np.zeros_like(queries)
+        for e, q, o, n in zip(essential, queries, order, upto):
+            e[o[:n]] = q[o[:n]]
+        width = float(np.abs(queries).max(initial=0)) * float(np.abs(self.vectors).max(initial=0)) * max(1, queries.shape[1])
+        if self.floats is None and width < 2.0**52:  # such sums are exact
+            self.floats = self.vectors.T.astype(np.float64)
+        out = []
+        for at in range(0, len(queries), TOGETHER):
+            part = essential[at : at + TOGETHER]
+            totals = part.astype(np.float64) @ self.floats if width < 2.0**52 else part @ self.vectors.T
+            for i, total in enumerate(totals, at):
+                query, own, terms = queries[i], owns[i], order[i]
+                alive = np.flatnonzero(total + rest[i, upto[i]] >= least[i]) if least[i] is not None else np.arange(len(self.ids))
+                alive = alive[self.rows[alive] != own]
+                partial = total[alive].astype(np.int64)
+                for n in range(upto[i], len(terms), PROBE):
+                    ds = terms[n : n + PROBE]
+                    partial += self.vectors[np.ix_(alive, ds)] @ query[ds]
+                    good = partial + rest[i, min(n + PROBE, len(terms))] >= least[i]
+                    alive, partial = alive[good], partial[good]
+                first = np.lexsort((self.rows[alive], self.ids[alive], -partial))[:k]
+                out.append((alive[first], partial[first]))
+        return out
 
 
 def _cell(k: int) -> Callable:
@@ -85,9 +96,10 @@ def _cell(k: int) -> Callable:
             for size in np.unique(length):
                 part = rows[length == size]
                 shard = Shard(part["vec_id"].to_numpy(), part["row"].to_numpy(), np.stack(part["vector"].to_list()).astype(np.int64))
-                for q, own, vector in zip(queries["vec_id"], queries["row"], queries["vector"]):
-                    if len(vector) == size:
-                        places, scores = shard.best(np.asarray(vector, np.int64), own, k)
+                asked = queries[queries["vector"].map(len) == size]
+                if len(asked):
+                    best = shard.best(np.stack(asked["vector"].to_list()).astype(np.int64), asked["row"].to_numpy(), k)
+                    for q, own, (places, scores) in zip(asked["vec_id"], asked["row"], best):
                         out += [(own, q, shard.rows[p], shard.ids[p], s) for p, s in zip(places, scores)]
         return pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
 
