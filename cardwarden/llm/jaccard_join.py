@@ -36,6 +36,8 @@ TOLERANCE = 1e-4
 BLOCK_ROWS = 1024
 OVERLAP = 4
 BLOCK_BYTES = 24 << 20
+BATCH_ROWS = 256
+COLUMNS = 1024
 FILTER_BITS = 1 << 26
 _SETS = "mid long, key long, n long, set_hash long, set_check long, bands array<long>, signature binary, shingles binary"
 _FOUND = "mid long, low long, links long"
@@ -168,9 +170,9 @@ def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     out = np.zeros((len(left), len(right)), np.float64)
-    for at in range(0, int(often.sum()), 4096):
-        lo, hi = np.searchsorted(column, (at, at + 4096))
-        m = np.zeros((len(sets), 4096), np.float32)
+    for at in range(0, int(often.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+        m = np.zeros((len(sets), COLUMNS), np.float32)
         m[row[lo:hi], column[lo:hi] - at] = 1
         out += m[left] @ m[right].T
     return out
@@ -227,22 +229,28 @@ def tile_links(rows: list[tuple], key: int, same: bool) -> list[tuple[int, int,
     return [(rows[i][0], int(low[i]), int(links[i])) for i in np.flatnonzero(links)]
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows as tuples, few of them at a time: a batch of wide rows and a copy of all of it would be held together."""
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            yield from zip(*[c.to_pylist() for c in b.slice(at, BATCH_ROWS).columns])
+
+
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at, rows, out = None, [], []
 
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["mid", "low", "links"])
 
-    for b in batches:
-        for key, i, j, block, *row in zip(*[c.to_pylist() for c in b.columns]):
-            if (key, i, j) != at:
-                if len(rows) > 1:
-                    out.extend(tile_links(rows, at[0], at[1] == at[2]))
-                at, rows = (key, i, j), []
-                if len(out) > 50_000:
-                    yield batch()
-                    out = []
-            rows.append((*row, block == i))
+    for key, i, j, block, *row in _rows(batches):
+        if (key, i, j) != at:
+            if len(rows) > 1:
+                out.extend(tile_links(rows, at[0], at[1] == at[2]))
+            at, rows = (key, i, j), []
+            if len(out) > 50_000:
+                yield batch()
+                out = []
+        rows.append((*row, block == i))
     if len(rows) > 1:
         out.extend(tile_links(rows, at[0], at[1] == at[2]))
     if out:
@@ -285,6 +293,11 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
+def small_batches(spark: SparkSession):
+    """Arrow batches of few rows: a row holds all words or shingles of a text, and a batch is held by Spark and by Python."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
+
+
 def early_filter(spark: SparkSession, items: int):
     """Spark's runtime Bloom filters at every size of the filtered table and of the ``items`` keys that it may meet: most
     rows have no candidate, and their bands, signatures and shingles then drop out before the shuffle."""
@@ -335,7 +348,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
     words = F.transform(F.filter(F.split(F.lower(content), r"(?U)\W+"), lambda w: w != ""), lambda w: F.xxhash64(w))
     mid = F.col(row).cast("long") if row else F.monotonically_increasing_id()
     raw = docs.select(mid.alias("mid"), F.col(key).cast("long").alias("key"), words.alias("words"))
-    sets = stage(arrow_map(raw, _sets, _SETS), f"{name}-sets")
+    with small_batches(docs.sparkSession):
+        sets = stage(arrow_map(raw, _sets, _SETS), f"{name}-sets")
     same = ["n", "set_hash", "set_check"]
     groups = sets.where("n > 0").groupBy(*same).agg(F.min("mid").alias("rep"), F.count(F.lit(1)).alias("weight"))
     groups = stage(groups, f"{name}-groups")
@@ -356,7 +370,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
         "mid", "weight", "bands", "signature", "shingles",
     )
     tiles = tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    with early_filter(docs.sparkSession, wanted.count()):
+    with small_batches(docs.sparkSession), early_filter(docs.sparkSession, wanted.count()):
         found = stage(arrow_map(tiles, _tiles, _FOUND), f"{name}-found")
     linked = found.groupBy("mid").agg(F.sum("links").alias("others")).withColumnRenamed("mid", "rep")
     merged = classes(found.select("mid", "low"), name).withColumnRenamed("mid", "rep")

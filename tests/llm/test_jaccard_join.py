@@ -1,5 +1,8 @@
 import random
 import re
+import tracemalloc
+
+import pyarrow as pa
 
 from cardwarden.llm import jaccard_join as module
 from cardwarden.llm.jaccard_join import jaccard_join, least_matches
@@ -76,7 +79,7 @@ def test_places_without_company_are_filtered_before_they_are_dealt_again(spark,
 
     monkeypatch.setattr(module, "stage", noted)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.optimizer.runtime.bloomFilter.numBits",)}
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.optimizer.runtime.bloomFilter.numBits", "spark.sql.execution.arrow.maxRecordsPerBatch")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rows = corpus()
@@ -86,3 +89,17 @@ def test_places_without_company_are_filtered_before_they_are_dealt_again(spark,
     assert len(found) == len(rows)
     assert "might_contain" in plans["bloom-met"] and "explode" not in plans["bloom-met"]
     assert kept == {k: spark.conf.get(k, None) for k in kept}
+
+
+def test_a_wide_batch_is_not_copied_whole():
+    n, width = 4000, 8000
+    columns = [[i // 2 for i in range(n)], [0] * n, [0] * n, [0] * n, list(range(n)), [1] * n, [[i // 2] for i in range(n)]]
+    columns += [[bytes(4 * module.HASHES)] * n, [i.to_bytes(8, "little") * (width // 8) for i in range(n)]]
+    names = ["bucket", "i", "j", "block", "mid", "weight", "bands", "signature", "shingles"]
+    batch = pa.RecordBatch.from_pydict(dict(zip(names, columns)))
+    del columns
+    tracemalloc.start()
+    list(module._tiles(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * width // 3
