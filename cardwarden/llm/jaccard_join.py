@@ -38,7 +38,6 @@ OVERLAP = 4
 BLOCK_BYTES = 24 << 20
 BATCH_ROWS = 256
 COLUMNS = 1024
-FILTER_BITS = 1 << 26
 _SETS = "mid long, key long, n long, set_hash long, set_check long, bands array<long>, signature binary, shingles binary"
 _FOUND = "mid long, low long, links long"
 
@@ -298,14 +297,10 @@ def small_batches(spark: SparkSession):
     return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
 
 
-def early_filter(spark: SparkSession, items: int):
-    """Spark's runtime Bloom filters at every size of the filtered table and of the ``items`` keys that it may meet: most
-    rows have no candidate, and their bands, signatures and shingles then drop out before the shuffle."""
-    bloom, items = "spark.sql.optimizer.runtime.bloomFilter", max(items, 1000)
-    return settings(spark, {
-        f"{bloom}.enabled": "true", f"{bloom}.applicationSideScanSizeThreshold": "0", f"{bloom}.creationSideThreshold": "1t",
-        f"{bloom}.expectedNumItems": str(items), f"{bloom}.maxNumItems": str(items), f"{bloom}.numBits": str(min(8 * items, FILTER_BITS)),
-    })
+def early_filter(spark: SparkSession):
+    """Spark's runtime Bloom filters at every size of the filtered table: most rows have no candidate, and their
+    wide signatures and shingles then drop out before the shuffle."""
+    return settings(spark, {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"})
 
 
 def bucket_homes(reps: DataFrame, name: str) -> DataFrame:
@@ -315,17 +310,12 @@ def bucket_homes(reps: DataFrame, name: str) -> DataFrame:
     that most of its rows name if these are at least one in ``OVERLAP``. A joined bucket holds all rows of its
     parts, so no pair that met is lost.
     """
-    spark = reps.sparkSession
-    places = stage(reps.select("mid", "size", F.explode("bands").alias("bucket")), f"{name}-bands")  # a scan: Spark builds no Bloom filter above an explode
-    shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    shared = stage(shared, f"{name}-shared")  # most buckets have one row; only the places of the others are dealt again
-    with early_filter(spark, shared.count()):
-        met = stage(places.join(shared.where("rows > 1").select("bucket"), "bucket"), f"{name}-met")
-    buckets = met.groupBy("bucket").agg(
+    places = reps.select("mid", "size", F.explode("bands").alias("bucket"))
+    buckets = places.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("mid")).alias("x"), F.bit_xor(F.xxhash64("mid", F.lit(1))).alias("y"),
-    )
+    ).where("rows > 1")
     kept = buckets.groupBy("rows", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "rows")
-    held = stage(met.join(kept, "bucket"), f"{name}-places")
+    held = stage(places.join(kept, "bucket"), f"{name}-places")
     largest = F.max(F.struct("rows", "bucket")).over(Window.partitionBy("mid"))  # at most one row per band
     named = held.select("bucket", "rows", largest["bucket"].alias("top")).groupBy("bucket", "top").agg(F.count(F.lit(1)).alias("votes"), F.max("rows").alias("rows"))
     best = named.groupBy("bucket", "rows").agg(F.max(F.struct("votes", "top")).alias("best"))
@@ -353,14 +343,14 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
     same = ["n", "set_hash", "set_check"]
     groups = sets.where("n > 0").groupBy(*same).agg(F.min("mid").alias("rep"), F.count(F.lit(1)).alias("weight"))
     groups = stage(groups, f"{name}-groups")
-    weights = groups.select(F.col("rep").alias("mid"), "weight")
-    reps = sets.select("mid", "bands", F.col("n").alias("size")).join(weights.select("mid"), "mid")
+    reps = sets.select("mid", "bands", F.col("n").alias("size")).join(groups.select(F.col("rep").alias("mid"), "weight"), "mid")
+    reps = stage(reps, f"{name}-reps")
     homes = bucket_homes(reps, name)
     stats = homes.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("size") * 8 + 700).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     mine = homes.select("mid", "bucket").join(stats.select("bucket", blocks.alias("blocks")), "bucket")
     mine = mine.groupBy("mid").agg(F.collect_list(F.struct("bucket", "blocks")).alias("mine"))  # at most one per band
-    wanted = stage(weights.join(mine, "mid"), f"{name}-wanted")  # a written table: its size decides how sets meet it
+    wanted = stage(reps.select("mid", "weight").join(mine, "mid"), f"{name}-wanted")  # a written table: its size decides how sets meet it
     payload = sets.select("mid", "signature", "shingles").join(wanted.where("weight > 0"), "mid")  # a filtered side: Spark may build a Bloom filter of it
     sent = payload.select("mid", "weight", F.col("mine.bucket").alias("bands"), "signature", "shingles", F.explode("mine").alias("m"))
     block = F.pmod(F.xxhash64("mid", F.lit(2)), F.col("m.blocks")).cast("int")
@@ -370,7 +360,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
         "mid", "weight", "bands", "signature", "shingles",
     )
     tiles = tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    with small_batches(docs.sparkSession), early_filter(docs.sparkSession, wanted.count()):
+    with small_batches(docs.sparkSession), early_filter(docs.sparkSession):
         found = stage(arrow_map(tiles, _tiles, _FOUND), f"{name}-found")
     linked = found.groupBy("mid").agg(F.sum("links").alias("others")).withColumnRenamed("mid", "rep")
     merged = classes(found.select("mid", "low"), name).withColumnRenamed("mid", "rep")
