@@ -6,7 +6,8 @@ that holds a quarter of its rows, so a group of near copies is compared once and
 is cut into blocks and each pair of blocks is a tile of bounded size, so no task holds a whole bucket and no pair
 of rows is ever a row of a table. Inside a tile, signatures are compared ``STEP`` values at a time: a pair is dropped as soon as
 the posterior probability (uniform prior) that its similarity reaches the threshold is below ``TOLERANCE``.
-What survives is verified on the exact shingle sets. A tile gives each row its number of links and the smallest
+What survives is verified on the exact shingle sets. Only rows that meet another one have their signature and
+shingles made a second time, from their text; no table holds those of all rows. A tile gives each row its number of links and the smallest
 row of its part of the graph; parts are merged into classes by alternating star contraction.
 
 A pair at the threshold misses every band with probability (1 - 0.8 ** 5) ** 24, below 0.0001.
@@ -21,7 +22,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwarden.llm.common import arrow_map, stage, table
@@ -38,7 +39,9 @@ OVERLAP = 4
 BLOCK_BYTES = 24 << 20
 BATCH_ROWS = 256
 COLUMNS = 1024
-_SETS = "mid long, key long, n long, set_hash long, set_check long, bands array<long>, signature binary, shingles binary"
+FILTER_BITS = 1 << 26
+_SETS = "mid long, key long, text_hash long, text_check long, n long, set_hash long, set_check long, bands array<long>"
+_WIDE = "mid long, weight long, buckets array<long>, blocks array<int>, signature binary, shingles binary"
 _FOUND = "mid long, low long, links long"
 
 
@@ -81,22 +84,29 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return (keys | np.uint64(1)).view(np.int64)  # never 0
 
 
+def _shingles(words: pa.Array) -> Iterator[np.ndarray]:
+    """The shingle set of each list of word hashes."""
+    values, offsets = words.values.to_numpy(zero_copy_only=False), words.offsets.to_numpy()
+    for i in range(len(words)):
+        yield shingle_set(np.ascontiguousarray(values[offsets[i] : offsets[i + 1]], dtype=np.int64))
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-    names = ["mid", "key", "n", "set_hash", "set_check", "bands", "signature", "shingles"]
-    for b in batches:
-        words, out = b.column(2), []
-        values, offsets = words.values.to_numpy(zero_copy_only=False), words.offsets.to_numpy()
-        for i, (mid, key) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-            s = shingle_set(np.ascontiguousarray(values[offsets[i] : offsets[i + 1]], dtype=np.int64))
-            sig = signature(s)
+    for b in _slices(batches):
+        out = []
+        for s in _shingles(b.column(4)):
             check = np.bitwise_xor.reduce(_mix(s + np.uint64(77))) if len(s) else np.uint64(0)
-            out.append((mid, key, len(s), int(s.sum().astype(np.uint64).view(np.int64)), int(check.view(np.int64)), band_keys(sig), sig.tobytes(), s.tobytes()))
-            if len(out) == 256:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+            out.append((len(s), int(s.sum().astype(np.uint64).view(np.int64)), int(check.view(np.int64)), band_keys(signature(s))))
+        n, total, check, bands = zip(*out)
+        made = [pa.array(n, pa.int64()), pa.array(total, pa.int64()), pa.array(check, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], *made], names=["mid", "key", "text_hash", "text_check", "n", "set_hash", "set_check", "bands"])
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _slices(batches):
+        sets = list(_shingles(b.column(4)))
+        made = [pa.array([signature(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], *made], names=["mid", "weight", "buckets", "blocks", "signature", "shingles"])
 
 
 @lru_cache(maxsize=8)
@@ -228,11 +238,16 @@ def tile_links(rows: list[tuple], key: int, same: bool) -> list[tuple[int, int,
     return [(rows[i][0], int(low[i]), int(links[i])) for i in np.flatnonzero(links)]
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Rows as tuples, few of them at a time: a batch of wide rows and a copy of all of it would be held together."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, BATCH_ROWS):
-            yield from zip(*[c.to_pylist() for c in b.slice(at, BATCH_ROWS).columns])
+            yield b.slice(at, BATCH_ROWS)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows as tuples, few of them at a time: a batch of wide rows and a copy of all of it would be held together."""
+    for b in _slices(batches):
+        yield from zip(*[c.to_pylist() for c in b.columns])
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,10 +312,18 @@ def small_batches(spark: SparkSession):
     return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
 
 
-def early_filter(spark: SparkSession):
-    """Spark's runtime Bloom filters at every size of the filtered table: most rows have no candidate, and their
-    wide signatures and shingles then drop out before the shuffle."""
-    return settings(spark, {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"})
+def early_filter(spark: SparkSession, items: int):
+    """Spark's runtime Bloom filters at every size of the filtered table and of the ``items`` keys that it may meet: most
+    rows have no candidate, and their texts then drop out before they are sorted and shuffled."""
+    bloom, items = "spark.sql.optimizer.runtime.bloomFilter", max(items, 1000)
+    return settings(spark, {
+        f"{bloom}.enabled": "true", f"{bloom}.applicationSideScanSizeThreshold": "0", f"{bloom}.creationSideThreshold": "1t",
+        f"{bloom}.expectedNumItems": str(items), f"{bloom}.maxNumItems": str(items), f"{bloom}.numBits": str(min(8 * items, FILTER_BITS)),
+    })
+
+
+def word_hashes(content: Column) -> Column:
+    return F.transform(F.filter(F.split(F.lower(content), r"(?U)\W+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
 def bucket_homes(reps: DataFrame, name: str) -> DataFrame:
@@ -311,11 +334,13 @@ def bucket_homes(reps: DataFrame, name: str) -> DataFrame:
     parts, so no pair that met is lost.
     """
     places = reps.select("mid", "size", F.explode("bands").alias("bucket"))
-    buckets = places.groupBy("bucket").agg(
+    shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("bucket")
+    met = stage(places.join(stage(shared, f"{name}-shared"), "bucket"), f"{name}-met")  # most buckets have one row and need no more than a count
+    buckets = met.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("mid")).alias("x"), F.bit_xor(F.xxhash64("mid", F.lit(1))).alias("y"),
-    ).where("rows > 1")
+    )
     kept = buckets.groupBy("rows", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "rows")
-    held = stage(places.join(kept, "bucket"), f"{name}-places")
+    held = stage(met.join(kept, "bucket"), f"{name}-places")
     largest = F.max(F.struct("rows", "bucket")).over(Window.partitionBy("mid"))  # at most one row per band
     named = held.select("bucket", "rows", largest["bucket"].alias("top")).groupBy("bucket", "top").agg(F.count(F.lit(1)).alias("votes"), F.max("rows").alias("rows"))
     best = named.groupBy("bucket", "rows").agg(F.max(F.struct("votes", "top")).alias("best"))
@@ -335,24 +360,29 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
     ``row`` names a column of distinct numbers that is to be ``row_id``; without it rows are numbered here.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    words = F.transform(F.filter(F.split(F.lower(content), r"(?U)\W+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    texts = [F.xxhash64(content).alias("text_hash"), F.xxhash64(F.lit(1), content).alias("text_check")]
     mid = F.col(row).cast("long") if row else F.monotonically_increasing_id()
-    raw = docs.select(mid.alias("mid"), F.col(key).cast("long").alias("key"), words.alias("words"))
+    raw = docs.select(mid.alias("mid"), F.col(key).cast("long").alias("key"), *texts, word_hashes(content).alias("words"))
     with small_batches(docs.sparkSession):
         sets = stage(arrow_map(raw, _sets, _SETS), f"{name}-sets")
     same = ["n", "set_hash", "set_check"]
     groups = sets.where("n > 0").groupBy(*same).agg(F.min("mid").alias("rep"), F.count(F.lit(1)).alias("weight"))
     groups = stage(groups, f"{name}-groups")
-    reps = sets.select("mid", "bands", F.col("n").alias("size")).join(groups.select(F.col("rep").alias("mid"), "weight"), "mid")
+    reps = sets.select("mid", "text_hash", "text_check", "bands", F.col("n").alias("size")).join(groups.select(F.col("rep").alias("mid"), "weight"), "mid")
     reps = stage(reps, f"{name}-reps")
     homes = bucket_homes(reps, name)
     stats = homes.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("size") * 8 + 700).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     mine = homes.select("mid", "bucket").join(stats.select("bucket", blocks.alias("blocks")), "bucket")
     mine = mine.groupBy("mid").agg(F.collect_list(F.struct("bucket", "blocks")).alias("mine"))  # at most one per band
-    wanted = stage(reps.select("mid", "weight").join(mine, "mid"), f"{name}-wanted")  # a written table: its size decides how sets meet it
-    payload = sets.select("mid", "signature", "shingles").join(wanted.where("weight > 0"), "mid")  # a filtered side: Spark may build a Bloom filter of it
-    sent = payload.select("mid", "weight", F.col("mine.bucket").alias("bands"), "signature", "shingles", F.explode("mine").alias("m"))
+    wanted = reps.select(F.col("text_hash").alias("w_hash"), F.col("text_check").alias("w_check"), "mid", "weight").join(mine, "mid")
+    wanted = stage(wanted, f"{name}-wanted")  # a written table: its size decides how texts meet it
+    # equal texts are one row before they are dealt; the filtered side lets Spark build a Bloom filter of it
+    payload = docs.select(*texts, content.alias("content")).groupBy("text_hash", "text_check").agg(F.min("content").alias("content"))
+    payload = payload.join(wanted.where("weight > 0"), (F.col("text_hash") == F.col("w_hash")) & (F.col("text_check") == F.col("w_check")))
+    payload = payload.select("mid", "weight", F.col("mine.bucket").alias("buckets"), F.col("mine.blocks").alias("blocks"), word_hashes(F.col("content")).alias("words"))
+    met = F.explode(F.arrays_zip(F.col("buckets").alias("bucket"), F.col("blocks").alias("blocks"))).alias("m")
+    sent = arrow_map(payload, _wide, _WIDE).select("mid", "weight", F.col("buckets").alias("bands"), "signature", "shingles", met)
     block = F.pmod(F.xxhash64("mid", F.lit(2)), F.col("m.blocks")).cast("int")
     sent = sent.select("*", block.alias("block")).select("*", F.explode(F.sequence(F.lit(0), F.col("m.blocks") - 1)).alias("other"))
     tiles = sent.select(
@@ -360,7 +390,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", name:
         "mid", "weight", "bands", "signature", "shingles",
     )
     tiles = tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    with small_batches(docs.sparkSession), early_filter(docs.sparkSession):
+    with small_batches(docs.sparkSession), early_filter(docs.sparkSession, wanted.count()):
         found = stage(arrow_map(tiles, _tiles, _FOUND), f"{name}-found")
     linked = found.groupBy("mid").agg(F.sum("links").alias("others")).withColumnRenamed("mid", "rep")
     merged = classes(found.select("mid", "low"), name).withColumnRenamed("mid", "rep")

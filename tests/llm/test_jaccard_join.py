@@ -1,11 +1,13 @@
 import random
 import re
 import tracemalloc
+from pathlib import Path
 
 import pyarrow as pa
 
 from cardwarden.llm import jaccard_join as module
 from cardwarden.llm.jaccard_join import jaccard_join, least_matches
+from cardwarden.session import staging_root
 
 
 def brute(rows):
@@ -82,3 +84,35 @@ def test_a_wide_batch_is_not_copied_whole():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < n * width // 3
+
+
+def unrelated(count, words):
+    r = random.Random(5)
+    return [(i, " ".join("%x" % r.getrandbits(40) for _ in range(words))) for i in range(count)]
+
+
+def test_rows_without_candidates_leave_no_wide_values_on_disk(spark):
+    rows = unrelated(300, 2000)
+    rows.append((300, rows[7][1] + " more"))
+    found = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), name="test-narrow").collect()
+    assert {r["doc_id"]: r["links"] for r in found if r["links"]} == {7: 1, 300: 1}
+    written = sum(p.stat().st_size for p in Path(staging_root(spark), "llm").glob("test-narrow-*/*.parquet"))
+    assert written < 300 * 2000 * 8 // 4  # a quarter of all shingles
+
+
+def test_texts_are_filtered_before_the_shuffle_however_large_the_candidates_are(spark, monkeypatch):
+    plans, stage = {}, module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or stage(df, name))
+    rows = unrelated(30, 50)
+    rows.append((30, rows[7][1] + " more"))
+    with module.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1"}):
+        found = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), name="test-filter").collect()
+    assert {r["doc_id"]: r["links"] for r in found if r["links"]} == {7: 1, 30: 1}
+    assert "might_contain" in plans["test-filter-found"]
+
+
+def test_copies_of_a_candidate_count_once_each(spark):
+    text = unrelated(1, 100)[0][1]
+    rows = [(i, text) for i in range(40)] + [(40 + i, f"{text} {i}") for i in range(3)] + [(43, text.upper()), (None, None), (44, "")]
+    found = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {(r["doc_id"], r["class_id"], r["links"]) for r in found} == {(i, 0, 43) for i in range(44)} | {(None, None, 0), (44, 44, 0)}
