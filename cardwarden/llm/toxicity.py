@@ -33,6 +33,7 @@ ROUNDS = 6
 THRESHOLD = 0.3
 CACHE_WORDS = 200_000
 CHUNK = 2048
+TOGETHER = 10_000
 
 Model = dict
 
@@ -297,30 +298,43 @@ def score_rows(m: Model, projections: Projections, stacked: np.ndarray) -> np.nd
 
 
 def _scorer(m: Model) -> Callable:
+    """Windows are scored together until there are ``CHUNK``, and after ``TOGETHER`` rows, wherever a batch ends: the last
+    digits of a score depend on what it is computed with, so they don't depend on the size of batches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(m["known"])
         projections = Projections(m, lexicon)
-        for b in batches:
-            scores: list[float] = []
+        waiting: list[pa.RecordBatch] = []
+        scores: list[float] = []
+        per, held, rows = [], 0, 0
+
+        def flush() -> None:
+            nonlocal per, held
+            if per:
+                found = score_rows(m, projections, np.concatenate(per))
+                scores.extend(float(s) for s in np.maximum.reduceat(found, np.cumsum([0, *[len(p) for p in per[:-1]]])))
             per, held = [], 0
 
-            def flush() -> None:
-                nonlocal per, held
-                if per:
-                    found = score_rows(m, projections, np.concatenate(per))
-                    scores.extend(float(s) for s in np.maximum.reduceat(found, np.cumsum([0, *[len(p) for p in per[:-1]]])))
-                per, held = [], 0
+        def scored() -> Iterator[pa.RecordBatch]:
+            while waiting and len(scores) >= waiting[0].num_rows:
+                b = waiting.pop(0)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores[: b.num_rows], pa.float64())], names=[*b.schema.names, "score"])
+                del scores[: b.num_rows]
 
+        for b in batches:
+            waiting.append(b)
             for text in b.column(b.num_columns - 1):
                 per.append(window_rows(words_of(text.as_py()), lexicon))
                 held += len(per[-1])
-                if held >= CHUNK:
+                rows += 1
+                if held >= CHUNK or rows % TOGETHER == 0:
                     flush()
-            flush()
-            if len(lexicon.rows) > CACHE_WORDS:
-                lexicon = Lexicon(m["known"])
-                projections = Projections(m, lexicon)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, "score"])
+                if rows % TOGETHER == 0 and len(lexicon.rows) > CACHE_WORDS:
+                    lexicon = Lexicon(m["known"])
+                    projections = Projections(m, lexicon)
+            yield from scored()
+        flush()
+        yield from scored()
 
     return run
 

@@ -1,7 +1,9 @@
+import random
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cardwarden.llm import common
+from cardwarden.llm import common, toxicity
 
 
 def _sizes(batches):
@@ -24,3 +26,18 @@ def test_a_bound_of_the_session_stays(spark):
         assert spark.conf.get(common.BATCH_LIMIT) == str(1 << 20)
     finally:
         spark.conf.unset(common.BATCH_LIMIT) if before is None else spark.conf.set(common.BATCH_LIMIT, before)
+
+
+def test_scores_do_not_depend_on_the_size_of_batches():
+    r = random.Random(2)
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    texts = [None if i % 50 == 0 else " ".join(r.choices(words, k=r.randint(0, 200))) for i in range(700)]
+    model = toxicity.fit(["bad awful text", "good nice text"] * 20, [1, 0] * 20, rounds=1)
+    table = pa.table({"doc_id": list(range(700)), "text": texts})
+
+    def scores(rows):
+        found = pa.Table.from_batches(toxicity._scorer(model)(iter(table.to_batches(max_chunksize=rows))))
+        assert found["doc_id"].to_pylist() == list(range(700))
+        return found["score"].to_pylist()
+
+    assert scores(700) == scores(37) == scores(1)
